@@ -7,6 +7,8 @@ hold its fixed words, found by a plain byte search.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ CRITICAL = "!!!!"
 FILE_OPENED = r"(?s)File: (.+?) opened"
 HEADER_DATE = r"Date:(\d{8})"
 HEADER_TIME = r"Date:\d{8} Time:(\d{4})"
+WORDS = ("Macro ", "Character Rate", " latches port ", "Health Warning: ", CRITICAL, "File: ")
 
 
 def _match(pattern: str, words: str, group: int, line: str = "value") -> Column:
@@ -61,10 +64,14 @@ def log_fields(lines: DataFrame) -> DataFrame:
     )
 
 
-def facts(fields: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
-    """Lines that state a fact, without their text, with ``pos`` as the order of lines."""
-    stated = ["port", "rate_port", "mux", "warning", "critical", "opened"]
-    return fields.where(F.coalesce(*[F.col(c) for c in stated]).isNotNull()).select(
+def facts(lines: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
+    """Lines that may state a fact, with their fields and ``pos``, the order of lines.
+
+    Chosen by the fixed words alone, so that a table of one fact computes the patterns of
+    that fact only. A line may still state nothing; the tables below drop it.
+    """
+    worded = [F.contains("value", F.lit(w)) for w in WORDS]
+    return log_fields(lines.where(reduce(or_, worded))).select(
         *keys, F.struct("block", "mid", "part").alias("pos"), "ts", "port", "sensor", "rate_port", "rate",
         "mux", "mux_port", "mux_sensor", "warning", "critical", "opened",
     )

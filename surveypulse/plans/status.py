@@ -64,7 +64,7 @@ class StatusRun:
 
     @cached_property
     def facts(self) -> DataFrame:
-        return self._keep(events.facts(events.log_fields(self.log)))
+        return self._keep(events.facts(self.log))
 
     @cached_property
     def ports(self) -> DataFrame:

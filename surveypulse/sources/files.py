@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from surveypulse import SESSION_KEYS
 from surveypulse.functions.text import folder_name
+from surveypulse.operators.joins import join_sized
 from surveypulse.reference import per_row
 
 # The file a session has of each kind.
@@ -43,6 +44,11 @@ def discover(spark: SparkSession, folders: str | list[str], levels: int = 1) ->
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(f"no EVT*.txt files found in {folders}") from error
         raise
+    return named_sessions(listing, levels).orderBy("dataset", "file_name")
+
+
+def named_sessions(listing: DataFrame, levels: int = 1) -> DataFrame:
+    """Dataset, session number and folder of each ``path`` that names a session."""
     name = F.substring_index("path", "/", -1)
     digits = F.regexp_extract(name, r"^EVT(\d+)\.txt", 1)
     return (
@@ -53,7 +59,6 @@ def discover(spark: SparkSession, folders: str | list[str], levels: int = 1) ->
             name.alias("file_name"),
             F.substring(F.col("path"), F.lit(1), F.length("path") - F.length(name) - 1).alias("folder"),
         )
-        .orderBy("dataset", "file_name")
     )
 
 
@@ -97,16 +102,25 @@ def files_missing(files: DataFrame) -> DataFrame:
 
 
 def headers_by_scan(lines: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
-    """Header line per key from a DataFrame of lines that still holds the headers.
+    """Header line per key, with its ``first`` position, from lines that still hold the headers.
 
     For lines that do not come from files the probe can open. The first line of a file lies
     in its first block, so later blocks are dropped before grouping.
     """
     return (
-        lines.where(F.col("block") == 0).groupBy(*keys).agg(F.min_by("value", "mid").alias("header"))
+        lines.where(F.col("block") == 0)
+        .groupBy(*keys)
+        .agg(F.min_by("value", "mid").alias("header"), F.min("mid").alias("first"))
     )
 
 
+def without_headers(lines: DataFrame, headers: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
+    """Lines after the header of their key, for the same kind of lines."""
+    keys = list(keys)
+    joined = join_sized(lines, headers.select(*keys, "first"), keys)
+    return joined.where((F.col("block") > 0) | (F.col("mid") > F.col("first"))).drop("first")
+
+
 def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     opened: dict[str, tuple[fs.FileSystem, str]] = {}
     for batch in batches:

@@ -54,7 +54,11 @@ def test_headers_agree_with_scan(spark, survey, run):
     raw = spark.read.text(survey + "/MAG*.txt")
     scan = raw.select(*lines.scan_columns(1), "value")
     probed = run.files.where("kind = 'MAG' AND header IS NOT NULL")
-    assert rows(files.headers_by_scan(scan), "session", "header") == rows(probed, "session", "header")
+    headers = files.headers_by_scan(scan)
+    assert rows(headers, "session", "header") == rows(probed, "session", "header")
+    body = files.without_headers(scan, headers)
+    kept = rows(run.table_lines("MAG"), "session", "value")
+    assert [r for r in rows(body, "session", "value") if r[1].strip()] == kept
 
 
 def test_channels_present(run):
