@@ -94,20 +94,16 @@ def gap_intervals(
 
     1. Rows become runs of equal missing channels, for all sets at once, inside each chunk.
        This is the only shuffle of rows, and it carries five columns.
-    2. Runs become spans per set inside each chunk. Spans with good rows on both sides in
-       their chunk are final.
-    3. The first and last span of each chunk are joined across chunks.
+    2. Runs become spans per set inside each chunk, with the partitioning of step 1.
+    3. The first and last span of each chunk are joined across chunks. Spans with good rows
+       on both sides in their chunk are final; they travel along in a lane of their chunk.
     """
     keys = list(keys)
     channels = set_channels(sets)
     if live is None:
         live = live_channels(df, keys, channels)
     runs = _runs(df, keys, chunk, order, time, channels)
-    spans = _spans(runs.join(live, keys), keys, sets, channels)
-    inner = spans.where("gap AND NOT at_start AND NOT at_end").select(
-        *keys, "plot_set", F.col("t").alias("t_start"), F.col("next.t").alias("t_end"), "n_rows"
-    )
-    return inner.unionByName(_across_chunks(spans.where("at_start OR at_end"), keys))
+    return _across_chunks(_spans(runs.join(live, keys), keys, sets, channels), keys)
 
 
 def set_channels(sets: dict[str, list[str]]) -> list[str]:
@@ -162,11 +158,14 @@ def _spans(runs: DataFrame, keys: list[str], sets: dict[str, list[str]], channel
     return followed.withColumns({"at_start": F.col("span") == 1, "at_end": F.col("next").isNull()})
 
 
-def _across_chunks(ends: DataFrame, keys: list[str]) -> DataFrame:
-    along = Window.partitionBy(*keys, "plot_set").orderBy("chunk", "span")
+def _across_chunks(spans: DataFrame, keys: list[str]) -> DataFrame:
+    at_edge = F.col("at_start") | F.col("at_end")
+    lanes = spans.where(F.col("gap") | at_edge).withColumn("lane", F.when(at_edge, -1).otherwise(F.col("chunk")))
+    along = Window.partitionBy(*keys, "plot_set", "lane").orderBy("chunk", "span")
     before = F.lag(F.struct("gap", "at_end")).over(along)
+    # A span goes on from the one before only if that one is a gap up to the end of its chunk.
     opens = F.col("gap") & F.coalesce(~before["gap"] | ~before["at_end"], F.lit(True))
-    linked = ends.withColumns(
+    linked = lanes.withColumns(
         {"_open": opens.cast("int"), "_after": F.coalesce("next", F.lead(F.struct("t")).over(along))}
     )
     grouped = linked.withColumn(
@@ -175,10 +174,10 @@ def _across_chunks(ends: DataFrame, keys: list[str]) -> DataFrame:
     place = F.struct("chunk", "span")
     until = F.when(F.col("_after").isNotNull(), F.col("_after.t")).otherwise(F.col("t_last"))
     return (
-        grouped.groupBy(*keys, "plot_set", "_span")
+        grouped.groupBy(*keys, "plot_set", "lane", "_span")
         .agg(
             F.min_by("t", place).alias("t_start"), F.max_by(until, place).alias("t_end"),
             F.sum("n_rows").alias("n_rows"),
         )
-        .drop("_span")
+        .drop("lane", "_span")
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from surveypulse import reference as ref
 from surveypulse.functions.clock import seconds_of_day
 from surveypulse.operators import compare, events, health, profile, series
-from surveypulse.sources import config_xml, files, fixed_width
+from surveypulse.sources import config_xml, files, fixed_width, lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -283,7 +283,7 @@ def _rendered(spark: SparkSession, sf_dir: str, reading: Column) -> DataFrame:
 def _parsed(spark: SparkSession, sf_dir: str, reading: Column) -> DataFrame:
     """Data lines with the layout found in the headers."""
     text = _rendered(spark, sf_dir, reading)
-    headers = files.headers_by_scan(text, ["user_id"])
+    headers = files.headers_by_scan(text, ["user_id"]).persist()
     body = files.without_headers(text, headers, ["user_id"])
     return fixed_width.attach_layout(body, fixed_width.layouts(headers), ["user_id"])
 
@@ -307,8 +307,8 @@ def q_fwf_coerce(spark, sf_dir):
         F.when(kind == "click", F.concat(number, F.lit("d"))).when(kind == "view", F.concat(number, F.lit("x")))
         .when(kind == "signup", F.lit("0x1p3")).when(kind == "error", F.floor("value").cast("string")).otherwise(number)
     )
-    lines = _parsed(spark, sf_dir, shown).withColumn("event_id", F.col("mid"))
-    cells = fixed_width.number_cells(lines, ["event_id"])
+    parsed = _parsed(spark, sf_dir, shown).withColumn("event_id", F.col("mid"))
+    cells = fixed_width.number_cells(parsed, ["event_id"])
     whole = F.when(F.col("whole") & F.col("value").isNotNull(), True)
     return cells.select("event_id", "cell", "value", whole.alias("whole"))
 
@@ -322,10 +322,10 @@ def q_fwf_profile(spark, sf_dir):
     """Statistics of every number channel of fixed-width lines."""
     shown = F.when(F.col("event_type") == "error", "########").otherwise(F.col("value").cast("string"))
     text = _rendered(spark, sf_dir, shown)
-    headers = files.headers_by_scan(text, ["user_id"])
+    headers = files.headers_by_scan(text, ["user_id"]).persist()
     laid_out = fixed_width.layouts(headers)
-    lines = fixed_width.attach_layout(files.without_headers(text, headers, ["user_id"]), laid_out, ["user_id"])
-    counted = profile.count_cells(fixed_width.number_cells(lines, ["user_id"]), ["user_id"])
+    body = fixed_width.attach_layout(files.without_headers(text, headers, ["user_id"]), laid_out, ["user_id"])
+    counted = profile.count_cells(fixed_width.number_cells(body, ["user_id"]), ["user_id"])
     stats = profile.name_cells(counted, fixed_width.number_channels(laid_out, ["user_id"]), ["user_id"])
     return stats.select("user_id", "channel", "ordinal", "n", "n_null", _round("mean", 4), "min", "max", "all_integral")
 
@@ -366,7 +366,7 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = rows.select(day).distinct().select(
         "day", F.lit(0).cast("bigint").alias("block"), F.lit(-1).cast("bigint").alias("mid"), opened.alias("value")
     )
-    return body.unionByName(first).withColumn("part", F.lit(0))
+    return lines.split_log_lines(body.unionByName(first))
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -637,12 +637,14 @@ def _configs(spark: SparkSession, sf_dir: str) -> DataFrame:
              item("MACRO", value(F.lit("?"))),
              item("MACRO", value(F.col("o_orderpriority")), item("LOGLEVEL", value(F.lit("3"))))),
         item("NAVNAME", "<Value/>"), item("UNSET"),
-        F.lit("<Group>"), item("COMPNAME", value(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))), F.lit("</Group>"),
+        item("COMPNAME", value(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))),
         F.lit("</Root>"),
     )
-    # The document's own wrapper elements are not objects, so the group inside is lifted out first.
-    flat = F.replace(F.replace(document, F.lit("<Group>"), F.lit("")), F.lit("</Group>"), F.lit(""))
-    texts = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("session"), flat.alias("xml"))
+    # Spread by session while rows are short: the aggregates by session need no other shuffle.
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
+    ).repartition("o_orderkey")
+    texts = orders.select(F.col("o_orderkey").alias("session"), document.alias("xml"))
     return config_xml.all_objects(config_xml.parse_config(texts, "xml", ["session"], 3), ["session"], 3)
 
 
@@ -660,8 +662,7 @@ def q_config_tags(spark, sf_dir):
   CAST(o_custkey AS VARCHAR) AS baud, o_orderpriority AS macro FROM orders""")
 def q_config_ports(spark, sf_dir):
     """Port settings in configuration trees."""
-    found = _configs(spark, sf_dir)
-    return config_xml.config_ports(found, config_xml.config_tags(found, ["session"]), ["session"])
+    return config_xml.config_ports(_configs(spark, sf_dir), ["session"])
 
 
 @_query(f"""SELECT o_orderkey AS session, {_PRICE} AS compensation, '' AS nav_file, NULL AS clock_port, NULL AS web_host,

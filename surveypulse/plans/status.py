@@ -128,7 +128,7 @@ class StatusRun:
 
     @cached_property
     def config_ports(self) -> DataFrame:
-        return config_xml.config_ports(self._config_found, self.config_tags)
+        return config_xml.config_ports(self._config_found)
 
     @cached_property
     def config_summary(self) -> DataFrame:

@@ -7,7 +7,6 @@ text in the last level and is reported by :func:`too_deep` instead of being lost
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,8 +40,12 @@ def config_objects(
 
 def parse_config(df: DataFrame, xml: str, keys: Iterable[str], depth: int = DEPTH) -> DataFrame:
     """The same objects from a column that holds a whole configuration as text."""
+    # The outer form, here and elsewhere: for the plain one Spark adds a filter on the size of the
+    # array, which computes the array a second time.
     tree = F.from_xml(F.col(xml), f"Object ARRAY<STRUCT<{object_schema(depth)}>>")
-    objects = df.select(*keys, F.posexplode(tree["Object"]).alias("mid", "object"))
+    objects = df.select(*keys, F.posexplode_outer(tree["Object"]).alias("mid", "object")).where(
+        "object IS NOT NULL"
+    )
     return objects.select(*keys, F.lit(0).cast("bigint").alias("block"), F.col("mid").cast("bigint"), "object")
 
 
@@ -50,33 +53,27 @@ def all_objects(objects: DataFrame, keys: Iterable[str] = SESSION_KEYS, depth: i
     """Objects of every level: ``keys, path, tag, value, inner``, ``path`` in document order.
 
     ``value`` is NULL for an object without one and ``''`` for an empty one; ``inner`` holds
-    tag and value of the objects directly below.
+    tag and value of the objects directly below. A tree is flattened inside its row, each
+    object before those in it, so the source is read once however deep it is.
     """
-    keys = list(keys)
-    level = objects.select(*keys, F.array("block", "mid").alias("path"), "object")
-    found = []
-    for left in range(depth, 0, -1):
-        found.append(
-            level.select(
-                *keys, "path", F.col("object._Tag").alias("tag"),
-                first_value(F.col("object.Value")).alias("value"),
-                (_inner(F.col("object.Object")) if left > 1 else F.array().cast(_INNER)).alias("inner"),
-            )
-        )
-        if left > 1:
-            level = level.select(*keys, "path", F.posexplode("object.Object").alias("_i", "object")).select(
-                *keys, F.concat("path", F.array(F.col("_i").cast("bigint"))).alias("path"), "object"
-            )
-    return reduce(DataFrame.unionByName, found)
+    found = objects.select(*keys, "block", "mid", F.posexplode_outer(_with_inner(F.col("object"), depth)).alias("_i", "_o"))
+    return found.select(*keys, F.struct("block", "mid", "_i").alias("path"), "_o.*")
 
 
-_INNER = "ARRAY<STRUCT<tag: STRING, value: STRING>>"
+def _with_inner(node: Column, depth: int) -> Column:
+    """The object and all objects below it, as one array in document order."""
+    children = node["Object"] if depth > 1 else None
+    inner = F.array().cast(_INNER) if children is None else F.transform(
+        children, lambda o: F.struct(o["_Tag"].alias("tag"), F.coalesce(first_value(o["Value"]), F.lit("")).alias("value"))
+    )
+    own = F.array(F.struct(node["_Tag"].alias("tag"), first_value(node["Value"]).alias("value"), inner.alias("inner")))
+    if children is None:
+        return own
+    below = F.flatten(F.transform(children, lambda o: _with_inner(o, depth - 1)))
+    return F.when(F.size(children) > 0, F.concat(own, below)).otherwise(own)
 
 
-def _inner(children: Column) -> Column:
-    return F.transform(
-        children, lambda o: F.struct(o["_Tag"].alias("tag"), F.coalesce(first_value(o["Value"]), F.lit("")).alias("value"))
-    ).cast(_INNER)
+_INNER = "ARRAY<STRUCT<tag: STRING, value: STRING>>"
 
 
 def first_value(values: Column) -> Column:
@@ -98,25 +95,25 @@ def config_tags(found: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFra
     return tagged.groupBy(*keys, "tag").agg(F.max_by("value", "path").alias("value"))
 
 
-def config_ports(found: DataFrame, tags: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
+def config_ports(found: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
     """Settings per port: ``com, state, baud, macro``.
 
     A port is any object whose tag starts with ``COM<n>STATE``; a later one replaces an
-    earlier one. Its state is the final flat value of the same tag.
+    earlier one. Its state is the final flat value of the same tag. Both are found by tag in
+    one aggregate: a tag belongs to one port only.
     """
     keys = list(keys)
     number = F.regexp_extract("tag", r"^COM(\d+)STATE", 1)
     ports = found.where(number != "").select(
-        *keys, "path", "tag", F.concat(F.lit("COM"), number).alias("com"),
+        *keys, "path", "tag", "value", F.concat(F.lit("COM"), number).alias("com"),
         _setting("BAUD").alias("baud"), _setting("MACRO").alias("macro"),
     )
-    last = ports.groupBy(*keys, "com").agg(F.max_by(F.struct("tag", "baud", "macro"), "path").alias("_p"))
-    state = tags.withColumnRenamed("value", "state")
-    return (
-        last.select(*keys, "com", "_p.tag", "_p.baud", "_p.macro")
-        .join(state, [*keys, "tag"], "left")
-        .select(*keys, "com", "state", "baud", "macro")
+    by_tag = ports.groupBy(*keys, "com", "tag").agg(
+        F.max("path").alias("path"), F.max_by(F.struct("baud", "macro"), "path").alias("_own"),
+        F.max_by("value", F.when(F.col("value").isNotNull(), F.col("path"))).alias("state"),
     )
+    last = by_tag.groupBy(*keys, "com").agg(F.max_by(F.struct("state", "_own"), "path").alias("_p"))
+    return last.select(*keys, "com", "_p.state", "_p._own.baud", "_p._own.macro")
 
 
 def _setting(tag: str) -> Column:

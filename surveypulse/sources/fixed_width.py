@@ -93,6 +93,10 @@ def attach_layout(lines: DataFrame, laid_out: DataFrame, keys: Iterable[str] = S
     return join_sized(lines, per_file, keys, "inner")
 
 
+def not_blank() -> Column:
+    return F.btrim(F.col("value"), F.lit(" \t\r\n")) != ""
+
+
 def _cut(cells: str) -> Column:
     spaced = F.replace(F.replace("value", F.lit("\t"), F.lit(" ")), F.lit(_CELL), F.lit("�"))
     return F.split(F.regexp_replace(spaced, F.col("pattern"), F.col(cells)), _CELL)
@@ -105,8 +109,10 @@ def number_cells(lines: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFr
     the cut). ``whole`` tells a value written as a whole number.
     """
     keys = list(keys)
-    filled = lines.where(F.trim("value") != "")
-    cut = filled.select(*keys, F.posexplode(_cut("number_cells")).alias("cell", "_raw"))
+    filled = lines.where(not_blank())
+    # A cut is never empty. The outer form keeps Spark from adding a filter on its size, which
+    # would cut every line twice.
+    cut = filled.select(*keys, F.posexplode_outer(_cut("number_cells")).alias("cell", "_raw"))
     trimmed = cut.select(*keys, "cell", F.trim("_raw").alias("_text"))
     text = F.col("_text")
     return trimmed.select(*keys, "cell", numeric(text).alias("value"), whole_number(text).alias("whole"))
@@ -129,7 +135,7 @@ def wide_table(
 ) -> DataFrame:
     """Typed columns for the channels asked for; a channel the file lacks is NULL throughout."""
     text_channels = set(text_channels)
-    filled = lines.where(F.trim("value") != "")
+    filled = lines.where(not_blank())
     cut = filled.select(*keep, "channels", _cut("all_cells").alias("_cells"))
 
     def channel(name: str) -> Column:

@@ -20,8 +20,8 @@ from surveypulse.sources.files import as_list
 # Besides line feeds, these characters also end a line of an event log.
 _LOG_BREAKS = "[\\x0b\\x0c\\x1c\\x1d\\x1e\\x{85}\\x{2028}\\x{2029}]"
 
-# A character that never separates anything: the line reader below must see one field.
-_NO_FIELDS = "\u0001"
+# Code points that are no characters: the line reader below must see one field and no quotes.
+_NO_FIELDS, _NO_QUOTES = "\ufdd0", "\ufdd1"
 
 LINE_SCHEMA = "dataset STRING, session INT, block BIGINT, mid BIGINT"
 
@@ -80,7 +80,7 @@ def split_log_lines(lines: DataFrame) -> DataFrame:
     kept = [c for c in lines.columns if c != "value"]
     whole = F.array(F.col("value"))
     pieces = F.when(F.col("value").rlike(_LOG_BREAKS), F.split("value", _LOG_BREAKS)).otherwise(whole)
-    return lines.select(*kept, F.posexplode(pieces).alias("part", "value"))
+    return lines.select(*kept, F.posexplode_outer(pieces).alias("part", "value"))
 
 
 def table_lines(
@@ -98,7 +98,8 @@ def table_lines(
         spark.read.schema("value STRING, whole STRING")
         .option("header", True)
         .option("sep", _NO_FIELDS)
-        .option("quote", "")
+        .option("quote", _NO_QUOTES)
+        .option("escape", _NO_QUOTES)
         .option("columnNameOfCorruptRecord", "whole")
     )
     raw = load(reader.csv, file_globs(folders, kind))
