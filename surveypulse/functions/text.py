@@ -25,17 +25,14 @@ def strip(text: Column) -> Column:
 def numeric(cell: Column) -> Column:
     """A trimmed cell as a double; anything that is not a plain decimal number is NULL.
 
-    A bare cast also takes ``1.0d``, ``1f``, hexadecimal floats and ``nan``. Every one of
-    those ends in a letter or holds an ``x``, so two byte-level tests stand in for a regular
-    expression per cell. Decimal text too large for a double is missing, not infinite.
+    A bare cast also takes ``1.0d``, ``1f``, hexadecimal floats and ``nan``: only text made of
+    the characters of a decimal number is cast at all. Decimal text too large for a double is
+    missing, not infinite; without an exponent, 300 characters cannot be too large.
     """
-    last = F.substr(cell, F.lit(-1), F.lit(1))
-    plain = (last.between("0", "9") | (last == ".")) & ~cell.contains("x") & ~cell.contains("X")
     value = cell.try_cast("double")
-    infinity = F.lit(float("inf"))
     return (
-        F.when(plain & ~(cell.contains("e") | cell.contains("E")) & (F.octet_length(cell) < 300), value)
-        .when(plain, F.when(F.abs(value) < infinity, value))
+        F.when(cell.rlike("^[-+.0-9]{1,300}$"), value)
+        .when(cell.rlike("^[-+.0-9eE]+$"), F.when(F.abs(value) < float("inf"), value))
         .when(F.lower(cell).isin(*INFINITE_WORDS), value)
     )
 

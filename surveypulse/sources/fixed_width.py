@@ -23,7 +23,7 @@ from surveypulse.operators.joins import join_sized
 from surveypulse.reference import TEXT_CHANNELS
 
 _CELL = "\u001f"
-_LAYOUT = ("channels", "edges", "pattern", "all_cells", "number_cells")
+_LAYOUT = ("channels", "pattern", "number_cells")
 
 
 def layouts(headers: DataFrame, text_channels: Iterable[str] = TEXT_CHANNELS) -> DataFrame:
@@ -50,18 +50,13 @@ def layouts(headers: DataFrame, text_channels: Iterable[str] = TEXT_CHANNELS) ->
         .withColumns(
             {
                 "pattern": F.concat(F.lit("(?s)^"), F.array_join(groups, ""), F.lit("$")),
-                "all_cells": _references(ordinals),
-                "number_cells": _references(number_ordinals),
+                "number_cells": F.array_join(F.transform(number_ordinals, lambda i: F.concat(F.lit("$"), i)), _CELL),
             }
         )
         .drop("_h", "_w")
     )
 
 
-def _references(ordinals: Column) -> Column:
-    return F.array_join(F.transform(ordinals, lambda i: F.concat(F.lit("$"), i)), _CELL)
-
-
 def check_layouts(laid_out: DataFrame) -> None:
     """Raise when a header names the same channel twice: such a table has no reading."""
     repeated = laid_out.where(F.size(F.array_distinct("channels")) < F.size("channels"))
@@ -86,20 +81,19 @@ def attach_layout(lines: DataFrame, laid_out: DataFrame, keys: Iterable[str] = S
     different = laid_out.select("header", *_LAYOUT).distinct().limit(2).collect()
     if len(different) == 1:
         only = different[0]
-        constants = {c: F.lit(only[c]) for c in ("pattern", "all_cells", "number_cells")}
+        constants = {c: F.lit(only[c]) for c in ("pattern", "number_cells")}
         constants["channels"] = F.array(*[F.lit(c) for c in only["channels"]])
         return lines.withColumns(constants)
-    per_file = laid_out.select(*keys, "channels", "pattern", "all_cells", "number_cells")
-    return join_sized(lines, per_file, keys, "inner")
+    return join_sized(lines, laid_out.select(*keys, *_LAYOUT), keys, "inner")
 
 
 def not_blank() -> Column:
     return F.btrim(F.col("value"), F.lit(" \t\r\n")) != ""
 
 
-def _cut(cells: str) -> Column:
+def _cut(cells: Column) -> Column:
     spaced = F.replace(F.replace("value", F.lit("\t"), F.lit(" ")), F.lit(_CELL), F.lit("�"))
-    return F.split(F.regexp_replace(spaced, F.col("pattern"), F.col(cells)), _CELL)
+    return F.split(F.regexp_replace(spaced, F.col("pattern"), cells), _CELL)
 
 
 def number_cells(lines: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
@@ -112,7 +106,7 @@ def number_cells(lines: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFr
     filled = lines.where(not_blank())
     # A cut is never empty. The outer form keeps Spark from adding a filter on its size, which
     # would cut every line twice.
-    cut = filled.select(*keys, F.posexplode_outer(_cut("number_cells")).alias("cell", "_raw"))
+    cut = filled.select(*keys, F.posexplode_outer(_cut(F.col("number_cells"))).alias("cell", "_raw"))
     trimmed = cut.select(*keys, "cell", F.trim("_raw").alias("_text"))
     text = F.col("_text")
     return trimmed.select(*keys, "cell", numeric(text).alias("value"), whole_number(text).alias("whole"))
@@ -134,16 +128,19 @@ def wide_table(
     text_channels: Iterable[str] = TEXT_CHANNELS,
 ) -> DataFrame:
     """Typed columns for the channels asked for; a channel the file lacks is NULL throughout."""
-    text_channels = set(text_channels)
-    filled = lines.where(not_blank())
-    cut = filled.select(*keep, "channels", _cut("all_cells").alias("_cells"))
-
-    def channel(name: str) -> Column:
-        position = F.nullif(F.array_position("channels", F.lit(name)), F.lit(0))
-        cell = F.trim(F.try_element_at("_cells", position.cast("int")))
-        return (text_value(cell) if name in text_channels else numeric(cell)).alias(name)
-
-    return cut.select(*keep, *[channel(c) for c in channels])
+    names, text_channels = list(channels), set(text_channels)
+    wanted = [
+        F.when(F.array_contains("channels", F.lit(c)),
+               F.concat(F.lit("$"), F.array_position("channels", F.lit(c)).cast("string"))).otherwise("")
+        for c in names
+    ]
+    # Cells stay in an array while they are worked on, see above: the code for a row does not
+    # grow with the number of channels. Only the cells asked for are cut out.
+    cut = lines.where(not_blank()).select(*keep, _cut(F.concat_ws(_CELL, *wanted)).alias("_raw"))
+    texts = cut.select(*keep, F.transform("_raw", lambda c: F.trim(c)).alias("_texts"))
+    both = texts.select(*keep, "_texts", F.transform("_texts", numeric).alias("_numbers"))
+    typed = [text_value(F.get("_texts", i)) if c in text_channels else F.get("_numbers", i) for i, c in enumerate(names)]
+    return both.select(*keep, *[v.alias(c) for v, c in zip(typed, names)])
 
 
 def all_channels(laid_out: DataFrame) -> list[str]:
