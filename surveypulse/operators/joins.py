@@ -11,16 +11,32 @@ from pyspark.sql import functions as F
 # bytes each this stays below some tens of megabytes.
 BROADCAST_ROWS = 100_000
 
+# Parts a key is spread over in the shuffle join.
+SPREAD = 32
+
 
 def join_sized(
-    big: DataFrame, small: DataFrame, keys: Iterable[str], how: str = "left", max_rows: int = BROADCAST_ROWS
+    big: DataFrame,
+    small: DataFrame,
+    keys: Iterable[str],
+    how: str = "left",
+    spread: Iterable[str] = (),
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join a table of one row per key, broadcast only if its rows are counted to be few.
+    """Join a table of one row per key (``left`` or ``inner``), broadcast only if it is counted to be short.
 
     Counting runs at once and keeps the small side cached for the join itself. With more rows
-    than ``max_rows`` the join is left to Spark as a shuffle join, in which adaptive
-    execution splits the partition of a key that holds too many rows of the big side.
+    than ``max_rows`` both sides are shuffled, and the rows of one key are spread over several
+    partitions by the columns in ``spread``: the small side is repeated for each part, so a
+    key that holds a third of the big side does not end in one task. What follows the join
+    cannot mistake this partitioning for one by key, either.
     """
+    keys, spread = list(keys), list(spread)
     small = small.persist()
-    few = small.limit(max_rows + 1).count() <= max_rows
-    return big.join(F.broadcast(small) if few else small, list(keys), how)
+    if small.limit(max_rows + 1).count() <= max_rows:
+        return big.join(F.broadcast(small), keys, how)
+    if not spread:
+        return big.join(small, keys, how)
+    parts = small.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    spread_big = big.withColumn("_part", F.pmod(F.xxhash64(*spread), F.lit(SPREAD)).cast("int"))
+    return spread_big.join(parts, [*keys, "_part"], how).drop("_part")

@@ -43,7 +43,8 @@ def with_elapsed(df: DataFrame, keys: Iterable[str], chunk: str, order: str, sec
     ``start`` may be passed when it is known, as :func:`first_valid` returns it.
     """
     keys = list(keys)
-    joined = join_sized(df, first_valid(df, keys, chunk, order, seconds) if start is None else start, keys)
+    start = first_valid(df, keys, chunk, order, seconds) if start is None else start
+    joined = join_sized(df, start, keys, spread=[order])
     return joined.withColumn(name, F.col(seconds) - F.col("first_value")).drop("first_value")
 
 
@@ -103,7 +104,8 @@ def gap_intervals(
     if live is None:
         live = live_channels(df, keys, channels)
     runs = _runs(df, keys, chunk, order, time, channels)
-    return _across_chunks(_spans(runs.join(live, keys), keys, sets, channels), keys)
+    known = join_sized(runs, live, keys, "inner", spread=["chunk"])
+    return _across_chunks(_spans(known, keys, sets, channels), keys)
 
 
 def set_channels(sets: dict[str, list[str]]) -> list[str]:

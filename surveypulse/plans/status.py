@@ -155,7 +155,7 @@ class StatusRun:
         """Data lines of a kind with the layout of their file, for the sessions of this run."""
         laid_out = self.layouts.where(F.col("kind") == kind)
         body = lines.table_lines(self.spark, self.folders, kind, self.numbers, self.levels)
-        return fixed_width.attach_layout(body, laid_out)
+        return fixed_width.attach_layout(body, laid_out, spread=["mid"])
 
     @cached_property
     def _counted(self) -> dict[str, DataFrame]:

@@ -117,7 +117,7 @@ def headers_by_scan(lines: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> Dat
 def without_headers(lines: DataFrame, headers: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
     """Lines after the header of their key, for the same kind of lines."""
     keys = list(keys)
-    joined = join_sized(lines, headers.select(*keys, "first"), keys)
+    joined = join_sized(lines, headers.select(*keys, "first"), keys, spread=["mid"])
     return joined.where((F.col("block") > 0) | (F.col("mid") > F.col("first"))).drop("first")
 
 

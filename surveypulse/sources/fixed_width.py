@@ -70,7 +70,9 @@ def channels_present(laid_out: DataFrame, keys: Iterable[str] = SESSION_KEYS) ->
     return laid_out.select(*keys, F.posexplode("channels").alias("ordinal", "channel"))
 
 
-def attach_layout(lines: DataFrame, laid_out: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
+def attach_layout(
+    lines: DataFrame, laid_out: DataFrame, keys: Iterable[str] = SESSION_KEYS, spread: Iterable[str] = ("value",)
+) -> DataFrame:
     """Give each line the layout of its file.
 
     Checks first how many different headers there are. Files of one kind normally share a
@@ -84,7 +86,7 @@ def attach_layout(lines: DataFrame, laid_out: DataFrame, keys: Iterable[str] = S
         constants = {c: F.lit(only[c]) for c in ("pattern", "number_cells")}
         constants["channels"] = F.array(*[F.lit(c) for c in only["channels"]])
         return lines.withColumns(constants)
-    return join_sized(lines, laid_out.select(*keys, *_LAYOUT), keys, "inner")
+    return join_sized(lines, laid_out.select(*keys, *_LAYOUT), keys, "inner", spread)
 
 
 def not_blank() -> Column:

@@ -112,11 +112,16 @@ def test_wide_and_long_statistics_agree(spark):
 
 def test_sized_join_beyond_its_bound(spark):
     big, small = spark.range(100).withColumn("k", F.col("id") % 4), spark.range(3).toDF("k").withColumn("v", F.col("k") * 2)
-    for bound in (1, 100):
-        joined = join_sized(big, small, ["k"], max_rows=bound)
-        plan = joined._jdf.queryExecution().optimizedPlan().toString()
-        assert ("strategy=broadcast" in plan) == (bound == 100)
-        assert joined.where("v IS NULL").count() == 25 and joined.count() == 100
+    expected = None
+    for bound, spread in ((100, []), (1, []), (1, ["id"])):
+        for how in ("left", "inner"):
+            joined = join_sized(big, small, ["k"], how, spread, bound)
+            plan = joined._jdf.queryExecution().optimizedPlan().toString()
+            assert ("strategy=broadcast" in plan) == (bound == 100)
+            found = rows(joined.where("v IS NOT NULL"), "k", "id", "v")
+            expected = expected or found
+            assert found == expected and len(found) == 75
+            assert joined.count() == (100 if how == "left" else 75)
 
 
 def test_unknown_sensor_and_word(spark):

@@ -72,6 +72,16 @@ def test_rank_and_first(spark, chunk_rows):
     assert elapsed == [(r[1], None if r[2] is None else r[2] - start[r[0]]) for r in data]
 
 
+def test_gaps_with_many_sessions(spark, monkeypatch):
+    """The same when the table of live channels is too long to broadcast."""
+    monkeypatch.setattr(series.join_sized, "__defaults__", ("left", (), 0))
+    data = table(6)
+    df = spark.createDataFrame(data, SCHEMA).withColumn("chunk", series.chunk_of("i", 20))
+    found = series.gap_intervals(df, ["k"], "chunk", "i", "t", SETS)
+    assert "strategy=broadcast" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found, "k", "plot_set", "t_start", "t_end", "n_rows") == expected_gaps(data)
+
+
 def test_time_of_day(spark):
     values = [143433.6, 0.0, 235959.999, 990000.0, 9999.5, None]
     df = spark.createDataFrame([(v,) for v in values], "t DOUBLE").select("t", seconds_of_day(F.col("t")).alias("s"))
