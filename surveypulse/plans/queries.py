@@ -640,10 +640,12 @@ def _configs(spark: SparkSession, sf_dir: str) -> DataFrame:
         item("COMPNAME", value(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))),
         F.lit("</Root>"),
     )
-    # Spread by session while rows are short: the aggregates by session need no other shuffle.
+    # Spread by session while rows are short: the aggregates by session need no other shuffle. The
+    # number of partitions is given because parsing weighs more than the bytes tell.
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
-    ).repartition("o_orderkey")
+    ).repartition(partitions, "o_orderkey")
     texts = orders.select(F.col("o_orderkey").alias("session"), document.alias("xml"))
     return config_xml.all_objects(config_xml.parse_config(texts, "xml", ["session"], 3), ["session"], 3)
 

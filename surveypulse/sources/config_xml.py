@@ -54,7 +54,8 @@ def all_objects(objects: DataFrame, keys: Iterable[str] = SESSION_KEYS, depth: i
 
     ``value`` is NULL for an object without one and ``''`` for an empty one; ``inner`` holds
     tag and value of the objects directly below. A tree is flattened inside its row, each
-    object before those in it, so the source is read once however deep it is.
+    object before those in it, so the source is read once however deep it is. ``inner`` is
+    filled for objects that may be a port.
     """
     found = objects.select(*keys, "block", "mid", F.posexplode_outer(_with_inner(F.col("object"), depth)).alias("_i", "_o"))
     return found.select(*keys, F.struct("block", "mid", "_i").alias("path"), "_o.*")
@@ -63,9 +64,13 @@ def all_objects(objects: DataFrame, keys: Iterable[str] = SESSION_KEYS, depth: i
 def _with_inner(node: Column, depth: int) -> Column:
     """The object and all objects below it, as one array in document order."""
     children = node["Object"] if depth > 1 else None
-    inner = F.array().cast(_INNER) if children is None else F.transform(
-        children, lambda o: F.struct(o["_Tag"].alias("tag"), F.coalesce(first_value(o["Value"]), F.lit("")).alias("value"))
-    )
+    nothing = F.array().cast(_INNER)
+    inner = nothing if children is None else F.when(
+        F.startswith(node["_Tag"], F.lit("COM")),
+        F.transform(children, lambda o: F.struct(
+            o["_Tag"].alias("tag"), F.coalesce(first_value(o["Value"]), F.lit("")).alias("value")
+        )),
+    ).otherwise(nothing)
     own = F.array(F.struct(node["_Tag"].alias("tag"), first_value(node["Value"]).alias("value"), inner.alias("inner")))
     if children is None:
         return own
