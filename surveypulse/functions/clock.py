@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 
 def seconds_of_day(hhmmss: Column) -> Column:
-    """``HHMMSS.sss`` held in a double, as seconds since midnight. No range check."""
-    hours = (hhmmss / 10000).cast("int")
-    minutes = ((hhmmss % 10000) / 100).cast("int")
-    return hours * 3600 + minutes * 60 + hhmmss % 100
+    """``HHMMSS.sss`` held in a double, as seconds since midnight. No range check.
+
+    Hours are cut towards zero and remainders are never negative, so that a garbled time still
+    gives the known number; no step can overflow.
+    """
+    part = hhmmss / 10000
+    hours = F.when(hhmmss < 0, F.ceil(part)).otherwise(F.floor(part)).cast("double")
+    minutes = F.floor(F.pmod(hhmmss, F.lit(10000.0)) / 100)
+    return hours * 3600 + minutes * 60 + F.pmod(hhmmss, F.lit(100.0))
 
 
 def tenths_of_day(stamp: Column) -> Column:

@@ -151,20 +151,20 @@ def q_constant_flag(spark, sf_dir):
 
 
 @_query("""SELECT o_orderstatus, o_orderpriority, channel, n, n_null, round(mean, 4) AS mean, min, max FROM (
-  SELECT o_orderstatus, o_orderpriority, 'o_totalprice' AS channel, count(*) AS n, 0 AS n_null,
-         avg(o_totalprice) AS mean, min(o_totalprice) AS min, max(o_totalprice) AS max FROM orders GROUP BY 1, 2
+  SELECT o_orderstatus, o_orderpriority, 'root' AS channel, count(*) AS n, 0 AS n_null,
+         avg(sqrt(o_totalprice)) AS mean, min(sqrt(o_totalprice)) AS min, max(sqrt(o_totalprice)) AS max FROM orders GROUP BY 1, 2
   """ + " ".join(f"""UNION ALL SELECT o_orderstatus, o_orderpriority, 'level_{i}', count(*),
-         count(*) - count(CASE WHEN o_totalprice >= {i * 40000} THEN o_totalprice END),
-         avg(CASE WHEN o_totalprice >= {i * 40000} THEN o_totalprice END),
-         min(CASE WHEN o_totalprice >= {i * 40000} THEN o_totalprice END),
-         max(CASE WHEN o_totalprice >= {i * 40000} THEN o_totalprice END) FROM orders GROUP BY 1, 2"""
+         count(*) - count(CASE WHEN o_totalprice >= {i * 40000} THEN sqrt(o_totalprice) END),
+         avg(CASE WHEN o_totalprice >= {i * 40000} THEN sqrt(o_totalprice) END),
+         min(CASE WHEN o_totalprice >= {i * 40000} THEN sqrt(o_totalprice) END),
+         max(CASE WHEN o_totalprice >= {i * 40000} THEN sqrt(o_totalprice) END) FROM orders GROUP BY 1, 2"""
     for i in range(14)) + ")")
 def q_many_channels(spark, sf_dir):
     """Statistics of a table too wide for one aggregate row."""
     price = F.col("o_totalprice")
-    levels = [F.when(price >= i * 40000, price).alias(f"level_{i}") for i in range(14)]
-    wide = _table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority", "o_totalprice", *levels)
-    channels = ["o_totalprice", *[f"level_{i}" for i in range(14)]]
+    levels = [F.when(price >= i * 40000, F.sqrt(price)).alias(f"level_{i}") for i in range(14)]
+    wide = _table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority", F.sqrt(price).alias("root"), *levels)
+    channels = ["root", *[f"level_{i}" for i in range(14)]]
     stats = profile.channel_stats(wide, ["o_orderstatus", "o_orderpriority"], channels)
     return stats.select("o_orderstatus", "o_orderpriority", "channel", "n", "n_null", _round("mean", 4), "min", "max")
 
@@ -314,9 +314,9 @@ def q_fwf_coerce(spark, sf_dir):
 
 
 @_query(f"""WITH {_SERIES}
-SELECT user_id, 'event_id' AS channel, 0 AS ordinal, count(*) AS n, 0 AS n_null, round(avg(event_id), 4) AS mean,
+SELECT user_id, 'event_id' AS channel, 0 AS ordinal, count(*) AS n, 0 AS n_null, round(avg(event_id), 8) AS mean,
        CAST(min(event_id) AS DOUBLE) AS min, CAST(max(event_id) AS DOUBLE) AS max, TRUE AS all_integral FROM series GROUP BY 1
-UNION ALL SELECT user_id, 'reading', 1, count(*), count(*) - count(reading), round(avg(reading), 4), min(reading), max(reading),
+UNION ALL SELECT user_id, 'reading', 1, count(*), count(*) - count(reading), round(avg(reading), 8), min(reading), max(reading),
        FALSE FROM series GROUP BY 1""")
 def q_fwf_profile(spark, sf_dir):
     """Statistics of every number channel of fixed-width lines."""
@@ -327,7 +327,7 @@ def q_fwf_profile(spark, sf_dir):
     body = fixed_width.attach_layout(files.without_headers(text, headers, ["user_id"]), laid_out, ["user_id"])
     counted = profile.count_cells(fixed_width.number_cells(body, ["user_id"]), ["user_id"])
     stats = profile.name_cells(counted, fixed_width.number_channels(laid_out, ["user_id"]), ["user_id"])
-    return stats.select("user_id", "channel", "ordinal", "n", "n_null", _round("mean", 4), "min", "max", "all_integral")
+    return stats.select("user_id", "channel", "ordinal", "n", "n_null", _round("mean"), "min", "max", "all_integral")
 
 
 @_query("""SELECT user_id, unnest(['event_id', 'reading', 'Bin']) AS channel, unnest([0, 1, 2]) AS ordinal

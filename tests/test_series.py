@@ -83,7 +83,7 @@ def test_gaps_with_many_sessions(spark, monkeypatch):
 
 
 def test_time_of_day(spark):
-    values = [143433.6, 0.0, 235959.999, 990000.0, 9999.5, None]
+    values = [143433.6, 0.0, 235959.999, 990000.0, 9999.5, None, -5.0, -123456.5, 1e15]
     df = spark.createDataFrame([(v,) for v in values], "t DOUBLE").select("t", seconds_of_day(F.col("t")).alias("s"))
     for t, s in df.collect():
         assert s == (None if t is None else int(t / 10000) * 3600 + int(t % 10000 / 100) * 60 + t % 100)
