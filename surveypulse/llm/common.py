@@ -26,6 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str, folder: str | None = None) -> str:
+    """The text of a tokenizer's JSON, from ``folder`` or else where the installed package has it."""
+    if folder is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(name)
+    else:
+        path = os.path.join(folder, name)
+    with open(path, encoding="utf-8") as f:
+        return f.read()
+
+
 def ship(spark: SparkSession) -> None:
     """Give the workers this package, once per application, for sessions that only the driver's path knows."""
     context: SparkContext = spark.sparkContext

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from surveypulse.llm.common import table
+from surveypulse.llm.bpe import bpe_encode
+from surveypulse.llm.common import table, tokenizer_file
+from surveypulse.llm.pii import personal_data
 from surveypulse.llm.substring_dedup import substring_dedup
 
 
@@ -10,5 +12,13 @@ def op1_substring_dedup(spark, sf_dir):
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup,)}
+def op5_bpe(spark, sf_dir):
+    return bpe_encode(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+def op9_pii(spark, sf_dir):
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op5_bpe, op9_pii)}
 ORACLE: dict[str, str] = {}
