@@ -73,8 +73,8 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
+def squeeze(data: bytes, level: int = 3) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(data)
 
 
 def expand(data: bytes) -> bytes:
@@ -96,7 +96,7 @@ def to_ipc(batch: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema) as w:
         w.write_table(batch)
-    return squeeze(sink.getvalue().to_pybytes())
+    return squeeze(sink.getvalue().to_pybytes(), 6)
 
 
 def from_ipc(data: bytes) -> pa.Table:

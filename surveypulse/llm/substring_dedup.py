@@ -29,7 +29,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from surveypulse.llm.common import Ranges, expand, from_planes, mix, planes, sliding_min, squeeze
 from surveypulse.llm.exchange import ask_and_answer, bucket_count
 
-WINDOW, SEED = 13, 4
+WINDOW, SEED = 13, 3
 LAST = np.iinfo(np.int64).max
 LOW = np.uint64(0x3FFFFFFF)  # bits of a position: chunks hold fewer words than that
 WORD_BYTES = regex.compile(rb"[^\x20\x09-\x0D]+")
@@ -132,13 +132,14 @@ def smallest(window: int, low: np.ndarray, lines: list[bytes]) -> tuple[np.ndarr
 
 def pack(tags: np.ndarray, low: np.ndarray, high: np.ndarray, strings: list[bytes]) -> bytes:
     head = np.array([len(strings)], np.int64).tobytes()
-    return squeeze(b"".join([head, planes(tags), planes(low), planes(high - low), b"\n".join(strings)]))
+    steps = np.diff(low, prepend=0)  # documents come in order: small numbers
+    return squeeze(b"".join([head, planes(tags), planes(steps), planes(high - low), b"\n".join(strings)]))
 
 
 def unpack(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     data = expand(body)
     n = int(np.frombuffer(data, np.int64, 1)[0])
-    tags, low = from_planes(data, np.uint32, n, 8), from_planes(data, np.int64, n, 8 + 4 * n)
+    tags, low = from_planes(data, np.uint32, n, 8), np.cumsum(from_planes(data, np.int64, n, 8 + 4 * n))
     return tags, low, low + from_planes(data, np.int64, n, 8 + 12 * n), data[8 + 20 * n :].split(b"\n")
 
 
@@ -243,7 +244,7 @@ def substring_dedup(
         np.minimum.at(low, number, owner)
         np.maximum.at(high, number, owner)
         order, found, begin = dealt(cut.value[where], buckets)
-        tags = (mix(cut.value[where]) >> np.uint64(32)).astype(np.uint32)
+        tags = (mix(cut.value[where]) >> np.uint64(40)).astype(np.uint32)  # enough to tell a bucket's minimisers apart
         for bucket, a, b in zip(found.tolist(), begin[:-1].tolist(), begin[1:].tolist(), strict=True):
             o = order[a:b]
             yield bucket, pack(tags[o], low[o], high[o], [strings[i] for i in o.tolist()])
