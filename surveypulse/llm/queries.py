@@ -5,6 +5,8 @@ from __future__ import annotations
 from surveypulse.llm.bpe import bpe_encode
 from surveypulse.llm.common import table, tokenizer_file
 from surveypulse.llm.pii import personal_data
+from surveypulse.llm.quality import oracle as quality_sql
+from surveypulse.llm.quality import quality_rules
 from surveypulse.llm.substring_dedup import substring_dedup
 
 
@@ -12,6 +14,10 @@ def op1_substring_dedup(spark, sf_dir):
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_rules(spark, sf_dir):
+    return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", "_q.*")
+
+
 def op5_bpe(spark, sf_dir):
     return bpe_encode(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -20,5 +26,5 @@ def op9_pii(spark, sf_dir):
     return personal_data(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op5_bpe, op9_pii)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op5_bpe, op9_pii)}
+ORACLE: dict[str, str] = {"op2_quality_rules": quality_sql()}
