@@ -5,6 +5,7 @@ from __future__ import annotations
 from surveypulse.llm.bpe import bpe_encode
 from surveypulse.llm.common import table, tokenizer_file
 from surveypulse.llm.minhash import minhash_dedup
+from surveypulse.llm.packing import best_fit_packing
 from surveypulse.llm.pii import personal_data
 from surveypulse.llm.quality import oracle as quality_sql
 from surveypulse.llm.quality import quality_rules
@@ -19,6 +20,10 @@ def op2_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", "_q.*")
 
 
+def op3_packing(spark, sf_dir):
+    return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op4_minhash(spark, sf_dir):
     return minhash_dedup(table(spark, sf_dir, "documents"), size=3, similar=85)
 
@@ -31,5 +36,5 @@ def op9_pii(spark, sf_dir):
     return personal_data(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op4_minhash, op5_bpe, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_packing, op4_minhash, op5_bpe, op9_pii)}
 ORACLE: dict[str, str] = {"op2_quality_rules": quality_sql()}
