@@ -10,6 +10,7 @@ from surveypulse.llm.pii import personal_data
 from surveypulse.llm.quality import oracle as quality_sql
 from surveypulse.llm.quality import quality_rules
 from surveypulse.llm.substring_dedup import substring_dedup
+from surveypulse.llm.suffix_dedup import suffix_dedup
 
 
 def op1_substring_dedup(spark, sf_dir):
@@ -32,9 +33,13 @@ def op5_bpe(spark, sf_dir):
     return bpe_encode(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark, sf_dir):
     return personal_data(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_packing, op4_minhash, op5_bpe, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_packing, op4_minhash, op5_bpe, op6_suffix_dedup, op9_pii)}
 ORACLE: dict[str, str] = {"op2_quality_rules": quality_sql()}
