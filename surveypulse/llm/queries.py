@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from surveypulse.llm.ann import nearest
 from surveypulse.llm.bpe import bpe_encode
 from surveypulse.llm.common import table, tokenizer_file
 from surveypulse.llm.minhash import minhash_dedup
@@ -37,9 +38,14 @@ def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_ann(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
 def op9_pii(spark, sf_dir):
     return personal_data(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_packing, op4_minhash, op5_bpe, op6_suffix_dedup, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_packing, op4_minhash, op5_bpe, op6_suffix_dedup, op8_ann, op9_pii)}
 ORACLE: dict[str, str] = {"op2_quality_rules": quality_sql()}
