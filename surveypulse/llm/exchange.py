@@ -53,17 +53,8 @@ def chunked(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterato
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def ask_and_answer(
-    docs: DataFrame,
-    text: str,
-    ask: Callable[[pa.Table], Iterator[tuple[int, bytes]]],
-    answer: Callable[[list[bytes]], list[bytes | None]],
-    finish: Callable[[pa.Table, dict[int, bytes]], pa.Table],
-    schema: StructType,
-    chunk_bytes: int = CHUNK_BYTES,
-) -> DataFrame:
-    """``ask(chunk)`` gives (bucket, question); ``answer(questions)`` an answer or None for each
-    question of one bucket; ``finish(chunk, {bucket: answer})`` the chunk's result rows."""
+def questions(docs: DataFrame, text: str, ask: Callable[[pa.Table], Iterator[tuple[int, bytes]]], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(key, chunk, body): a row per chunk and bucket asked, and with a negative key the chunk itself."""
     ship(docs.sparkSession)
 
     def send(batches):
@@ -73,6 +64,18 @@ def ask_and_answer(
             out = [(bucket, me, body) for bucket, body in ask(chunk)]
             yield rows([*out, (-1 - me, me, to_ipc(chunk))])
 
+    return docs.mapInArrow(send, ROWS)
+
+
+def ask_and_answer(
+    sent: DataFrame,
+    answer: Callable[[list[bytes]], list[bytes | None]],
+    finish: Callable[[pa.Table, dict[int, bytes]], pa.Table],
+    schema: StructType,
+) -> DataFrame:
+    """``sent``: what ``questions`` gives. ``answer(questions)``: an answer or None for each question
+    of one bucket; ``finish(chunk, {bucket: answer})``: the chunk's result rows."""
+
     def reply(group: pa.Table) -> pa.Table:
         key = group.column("key")[0].as_py()
         if key < 0:
@@ -87,7 +90,6 @@ def ask_and_answer(
         home = next(b for k, b in zip(keys, bodies, strict=True) if k < 0)
         return finish(from_ipc(home), {k: b for k, b in zip(keys, bodies, strict=True) if k >= 0})
 
-    sent = docs.mapInArrow(send, ROWS)
     return sent.groupBy("key").applyInArrow(reply, ROWS).groupBy("chunk").applyInArrow(close, schema)
 
 

@@ -10,6 +10,7 @@ from surveypulse.llm.packing import best_fit_packing
 from surveypulse.llm.pii import personal_data
 from surveypulse.llm.quality import oracle as quality_sql
 from surveypulse.llm.quality import quality_rules
+from surveypulse.llm.scoring import lm_scores
 from surveypulse.llm.substring_dedup import substring_dedup
 from surveypulse.llm.suffix_dedup import suffix_dedup
 
@@ -47,5 +48,9 @@ def op9_pii(spark, sf_dir):
     return personal_data(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_packing, op4_minhash, op5_bpe, op6_suffix_dedup, op8_ann, op9_pii)}
+def op10_lm_scoring(spark, sf_dir):
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_packing, op4_minhash, op5_bpe, op6_suffix_dedup, op8_ann, op9_pii, op10_lm_scoring)}
 ORACLE: dict[str, str] = {"op2_quality_rules": quality_sql()}

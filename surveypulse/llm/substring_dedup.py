@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from surveypulse.llm.common import Ranges, expand, from_planes, mix, planes, sliding_min, squeeze
-from surveypulse.llm.exchange import ask_and_answer, bucket_count
+from surveypulse.llm.exchange import ask_and_answer, bucket_count, questions
 
 WINDOW, SEED = 13, 3
 LAST = np.iinfo(np.int64).max
@@ -143,8 +143,8 @@ def unpack(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]
     return tags, low, low + from_planes(data, np.int64, n, 8 + 12 * n), data[8 + 20 * n :].split(b"\n")
 
 
-def replies(window: int, questions: list[bytes]) -> list[bytes | None]:
-    parts = [unpack(q) for q in questions]
+def replies(window: int, asked: list[bytes]) -> list[bytes | None]:
+    parts = [unpack(q) for q in asked]
     tags, low, high = (np.concatenate([p[i] for p in parts]) for i in range(3))
     lines = [s for p in parts for s in p[3]]
     base = np.concatenate([[0], np.cumsum([len(p[3]) for p in parts])])
@@ -152,13 +152,13 @@ def replies(window: int, questions: list[bytes]) -> list[bytes | None]:
     _, number, count = np.unique(tags, return_inverse=True, return_counts=True)
     several = (count[number] > 1) | (high > low)
     pick = np.flatnonzero(several)
-    out: list[bytes | None] = [None] * len(questions)
+    out: list[bytes | None] = [None] * len(asked)
     if not len(pick):
         return out
     least, begin = smallest(window, low[pick], [lines[i] for i in pick.tolist()])
     below = np.minimum.reduceat(least, begin[:-1]) < high[pick]
     pick, spans = pick[below], np.stack([begin[:-1], begin[1:]], 1)[below]
-    for q in range(len(questions)):
+    for q in range(len(asked)):
         a, b = np.searchsorted(pick, base[q : q + 2])
         if b > a:
             size = (spans[a:b, 1] - spans[a:b, 0]).astype(np.uint32)
@@ -268,4 +268,4 @@ def substring_dedup(
             sums.append(hashlib.sha256(line).hexdigest())
         return pa.table({"doc_id": chunk.column("doc_id"), "n_words": cut.n_words, "n_removed": removed, "kept_sha256": sums})
 
-    return ask_and_answer(picked, text_name, ask, lambda q: replies(window, q), finish, schema)
+    return ask_and_answer(questions(picked, text_name, ask), lambda q: replies(window, q), finish, schema)

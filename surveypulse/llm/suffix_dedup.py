@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from surveypulse.llm.common import Ranges, expand, from_planes, mix, planes, sliding_min, squeeze
-from surveypulse.llm.exchange import ask_and_answer, bucket_count
+from surveypulse.llm.exchange import ask_and_answer, bucket_count, questions
 from surveypulse.llm.substring_dedup import LOW, dealt, distinct
 from surveypulse.llm.suffixes import common_prefixes, suffix_array
 
@@ -108,9 +108,9 @@ def repeated(strings: list[bytes], length: int) -> list[np.ndarray]:
     return [flag[b - n : b - length + 1] for b, n in zip(stop.tolist(), size.tolist(), strict=True)]
 
 
-def replies(length: int, seed: int, questions: list[bytes]) -> list[bytes | None]:
+def replies(length: int, seed: int, asked: list[bytes]) -> list[bytes | None]:
     side = (length - seed) // 2
-    parts = [unpack(q) for q in questions]
+    parts = [unpack(q) for q in asked]
     number, strings, where = distinct([s for p in parts for s in p[3]])
     tags, count, seed_at = (np.concatenate([p[i] for p in parts]) for i in range(3))
     total = np.bincount(number, weights=count, minlength=len(strings))
@@ -217,4 +217,4 @@ def suffix_dedup(
         }
         return pa.table(columns | ({"kept": pa.array(kept, pa.binary())} if bytes_out else {}))
 
-    return ask_and_answer(picked, "text", ask, lambda q: replies(length, seed, q), finish, schema, chunk_bytes)
+    return ask_and_answer(questions(picked, "text", ask, chunk_bytes), lambda q: replies(length, seed, q), finish, schema)
