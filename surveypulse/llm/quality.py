@@ -29,6 +29,8 @@ WORDS_LEAST, REPEATED_MOST = 50, 50
 SLACK = (0.5, 0.04, 0.1, 0.15, 0.2)
 #: 99.99 % and the factor that makes the covariance of the inner 75 % consistent, for five normal variables.
 CUT, FACTOR, SHARE, STEPS, LEAST = 25.74, 1.41, 0.75, 4, 20
+#: Estimates of so many groups (some 200 bytes each) at most are sent to all tasks; more are joined by shuffle.
+GROUPS_SENT = 20_000
 P = range(1, 6)
 GROUP = "lang, source"
 
@@ -164,17 +166,22 @@ def estimate() -> str:
 VERDICT = f"NOT {FAILED} AND NOT (size >= {SHARE} * {LEAST} AND d2 > {CUT})"
 
 
+def sized(groups: DataFrame) -> DataFrame:
+    """A written table of groups, marked for broadcast if its counted rows allow."""
+    return F.broadcast(groups) if groups.count() <= GROUPS_SENT else groups
+
+
 def estimated(spark, rows: DataFrame) -> DataFrame:
     """The estimates of all groups of ``rows`` (lang, source, and the counts)."""
     rows.createOrReplaceTempView(view := f"quality_rows_{id(rows)}")
     f = spark.sql(vectors(view))
     spark.catalog.dropTempView(view)
-    m = written(spark.sql(medians(), f=f))
-    d = spark.sql(deviations(), f=f, s=m)
-    s = written(spark.sql(start(), s=m, d=d))
+    m = sized(written(spark.sql(medians(), f=f)))
+    d = sized(written(spark.sql(deviations(), f=f, s=m)))
+    s = sized(written(spark.sql(start(), s=m, d=d)))
     for _ in range(STEPS):
-        c = spark.sql(nearest(), f=f, s=s)
-        s = written(spark.sql(estimate(), f=f, s=s, c=c))
+        c = sized(written(spark.sql(nearest(), f=f, s=s)))
+        s = sized(written(spark.sql(estimate(), f=f, s=s, c=c)))
     return s
 
 
