@@ -1,26 +1,72 @@
-"""A training-data pipeline over ``documents``: each stage reads what the one before wrote."""
+"""A training-data pipeline over ``documents``: each stage works on what the one before wrote.
+
+Quality rules drop documents, near-duplicates leave one document of each group, repeated passages
+are cut out, personal data is replaced by its kind, and the rest is packed into token sequences. All
+stages but the last return the columns of ``documents``; ``n_chars`` follows a changed text. Stages
+bear further columns in ``docs``, of any name, and pass them on.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from surveypulse.llm.common import table, written
+from surveypulse.llm.common import table, tokenizer_file, written
+from surveypulse.llm.minhash import minhash_dedup
+from surveypulse.llm.packing import best_fit_packing
+from surveypulse.llm.pii import personal_data
+from surveypulse.llm.quality import quality_rules
 from surveypulse.llm.substring_dedup import substring_dedup
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the text as it is now, where the documents have that column."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality_rules(docs, keep=tuple(docs.columns)).where("_q.kept").select(*docs.columns)
+
 
-def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of each group of near-duplicates; a document on several rows once per text."""
+    kept = minhash_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    stays = docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi")
+    return stays.union(docs.where("doc_id IS NULL"))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out; a document left without words goes."""
-    cut = substring_dedup(docs, keep=True)
-    return cut.where("_n_removed = 0 OR _n_removed < _n_words").select(*docs.columns)
+    cut = substring_dedup(docs, keep=True).where("_n_removed = 0 OR _n_removed < _n_words")
+    return counted(cut.select(*docs.columns))
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each span of personal data is replaced by its kind in angle brackets."""
+    return counted(personal_data(docs, keep=True))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in their sequences."""
+    return best_fit_packing(docs, tokenizer_file(TOKENIZER))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("substring dedup", drop_repeats),
+    ("quality rules", keep_quality),
+    ("minhash near-dedup", one_of_each),
+    ("substring dedup", cut_repeats),
+    ("personal data", hide_personal_data),
+    ("best-fit packing", pack),
 ]
 
-#: No SQL: the stages iterate, tokenize and pack.
+#: No SQL: stages iterate, tokenize and pack. Tested against a brute-force version instead.
 ORACLE_SQL = None
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from surveypulse.llm.ann import nearest
 from surveypulse.llm.bpe import bpe_encode
+from surveypulse.llm.chat import conversations
 from surveypulse.llm.common import table, tokenizer_file
 from surveypulse.llm.minhash import minhash_dedup
 from surveypulse.llm.packing import best_fit_packing
@@ -39,6 +40,10 @@ def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_chat(spark, sf_dir):
+    return conversations(table(spark, sf_dir, "conversations"))
+
+
 def op8_ann(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
     return nearest(rows, rows.where("vec_id % 20 = 0"))
@@ -52,5 +57,5 @@ def op10_lm_scoring(spark, sf_dir):
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_packing, op4_minhash, op5_bpe, op6_suffix_dedup, op8_ann, op9_pii, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_packing, op4_minhash, op5_bpe, op6_suffix_dedup, op7_chat, op8_ann, op9_pii, op10_lm_scoring)}
 ORACLE: dict[str, str] = {"op2_quality_rules": quality_sql()}
