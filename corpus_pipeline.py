@@ -36,10 +36,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near-duplicates; a document on several rows once per text."""
+    """The smallest doc_id of each group of near-duplicates, its repeated rows once. Documents without
+    an id can't be told apart and stay."""
     kept = minhash_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     stays = docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi")
-    return stays.union(docs.where("doc_id IS NULL"))
+    once = stays.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    return once.union(docs.where("doc_id IS NULL"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
