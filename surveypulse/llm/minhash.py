@@ -8,13 +8,14 @@ of (1 - 0.85^5)^30 = 2e-8 (0.8: 6e-6).
 Candidates of a band bucket are not paired off. In the first round every member is compared with the
 bucket's smallest (its hub), signatures first, then full sets. Links are joined to components by
 star steps. Buckets that lie within one component are done. What remains gets an exact test of
-whether it can have a partner at all: shingles that no other remaining text has bound the similarity
-from above. Further rounds take as hub the member with the most links so far, leaving out hubs that
-have been compared with all of a bucket. After ``ROUNDS`` rounds all remaining pairs of different
-components in a bucket are compared. So each candidate pair is either compared or joined by others.
+whether it can have a partner at all: shingles that no other remaining text has, and the size of the
+bucket's smallest set, bound the similarity from above. Further rounds take as hub the member with
+the most links so far, leaving out hubs that have been compared with all of a bucket. After
+``ROUNDS`` rounds all remaining pairs of different components whose bound allows a link are compared,
+each in the first of its buckets. So each candidate pair is compared, joined by others, or can't link.
 
 A signature test with 150 minima drops a pair only when it lies ``MARGIN`` below the asked
-similarity (over 5 standard deviations). Full sets are compared as sets of word runs, not hashes.
+similarity (over 4.4 standard deviations). Full sets are compared as sets of word runs, not hashes.
 
 Edge cases: null, blank or empty texts have an empty set and link with nothing. A text with fewer
 words than a shingle has one shingle, all its words. Repeated rows share a class. Rows with a null
@@ -34,7 +35,7 @@ from surveypulse.llm.common import ship, written
 from surveypulse.llm.components import components
 
 SHINGLE, SIMILAR = 5, 80
-BANDS, ROWS, MARGIN, ROUNDS = 30, 5, 0.16, 3
+BANDS, ROWS, MARGIN, ROUNDS = 30, 5, 0.13, 3
 PRIME = (1 << 61) - 1
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Of one hub, so many partners are compared in a task's group.
@@ -91,14 +92,13 @@ def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS)
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sig binary")
 
 
-def banded(classes: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(bucket, id): one row per class and band."""
+def band_keys(bands: int = BANDS, rows: int = ROWS):
+    """The buckets of a signature, one per band."""
     width = 4 * rows
-    keys = F.transform(
+    return F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * width + 1, F.lit(width))),
     )
-    return classes.select("id", F.explode(keys).alias("bucket"))
 
 
 def agreeing(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
@@ -142,28 +142,40 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, similar: int) -> Da
     return hubs.union(members).groupBy("a", "g").applyInArrow(compare, "a long, b long")
 
 
-def partnerless(texts: DataFrame, size: int, similar: int) -> DataFrame:
-    """Ids whose shingles that no other of ``texts`` has are too many for any partner."""
+def open_buckets(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that lie in more than one component."""
+    several = rows.groupBy("bucket").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("bucket")
+    return rows.join(several, "bucket", "left_semi")
+
+
+def partnered(rows: DataFrame, texts: DataFrame, size: int, similar: int) -> DataFrame:
+    """The rows (bucket, id, part) whose id can have a partner among them, with ``n``, its number of
+    shingles, and ``s``, how many of them another remaining text has too. A link needs
+    100 * i >= similar * (n + m - i) with i <= s, and the partner has m >= the smallest n around."""
     def run(batches):
         for batch in batches:
             for i, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 x = hashes(shingles(t, size)).view(np.int64)
                 yield pa.RecordBatch.from_pydict({"id": pa.array([i] * len(x), pa.int64()), "x": pa.array(x)})
 
-    rows = texts.select("id", "text").mapInArrow(run, "id long, x long")
-    alone = rows.groupBy("x").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
-    # own / all > 1 - similar / 100 leaves a similarity below the asked one.
-    own = alone.groupBy("id").agg(F.count("*").alias("own"))
-    return own.join(texts.select("id", "n_shingles"), "id").where(f"100 * (n_shingles - own) < {similar} * n_shingles").select("id")
+    some = written(texts.join(rows.select("id").distinct(), "id", "left_semi"))
+    found = some.select("id", "text").mapInArrow(run, "id long, x long")
+    own = found.groupBy("x").agg(F.count("*").alias("k"), F.min("id").alias("id")).where("k = 1").groupBy("id").agg(F.count("*").alias("own"))
+    facts = some.join(own, "id", "left").select("id", F.col("n_shingles").alias("n"), (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("s"))
+    facts = written(facts)
+    sized = rows.select("bucket", "id", "part").join(facts, "id")
+    least = sized.groupBy("bucket").agg(F.min("n").alias("m"))
+    able = sized.join(least, "bucket").where(f"100 * s >= {similar} * n AND {100 + similar} * s >= {similar} * (n + m)")
+    return written(open_buckets(able.select("bucket", "id", "part", "n", "s")))
 
 
 def near_components(docs: DataFrame, size: int, similar: int) -> tuple[DataFrame, DataFrame]:
-    """(signatures of all rows, (id, component) of the classes that have links)."""
+    """(signatures of all rows, (node, component) of the classes that have links)."""
     sigs = written(signatures(docs, size))
     classes = written(
         sigs.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
         .groupBy("id").agg(F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")))
-    rows = banded(classes)
+    rows = classes.select("id", F.explode(band_keys()).alias("bucket"))
     full = rows.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
     buckets = written(rows.join(full, "bucket").select("bucket", "id", "hub"))
     nodes = buckets.select("id").distinct()
@@ -174,36 +186,43 @@ def near_components(docs: DataFrame, size: int, similar: int) -> tuple[DataFrame
     def links(pairs: DataFrame) -> DataFrame:
         return written(confirmed(agreeing(pairs.distinct(), classes, least), texts, size, similar))
 
+    def joined(known: DataFrame, more: DataFrame) -> DataFrame:
+        return components(known.union(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+
     edges = links(buckets.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")))
-    done = buckets.select("bucket", F.col("hub").alias("id")).distinct()  # hubs that were compared with all of their bucket
-    left = buckets.select("bucket", "id")
+    groups = joined(edges.limit(0).select(F.col("a").alias("u"), F.col("b").alias("v")), edges)
+    done = buckets.select("bucket", F.col("hub").alias("id")).distinct()  # hubs compared with all of their bucket
+    left = buckets
+    fits = f"{100 + similar} * least(s, s_) >= {similar} * (n + n_)"
     for turn in range(ROUNDS):
-        groups = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        named = left.join(groups, left["id"] == groups["node"], "left").select("bucket", "id", F.coalesce("component", "id").alias("part"))
-        open_ = named.groupBy("bucket").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("bucket")
-        left = written(named.join(open_, "bucket", "left_semi"))
+        facts = ["n", "s"] if turn else []
+        named = left.join(groups, left["id"] == groups["node"], "left").select("bucket", "id", F.coalesce("component", "id").alias("part"), *facts)
+        left = written(open_buckets(named))
         if turn == 0:
-            some = texts.join(left.select("id").distinct(), "id", "left_semi")
-            left = written(left.join(partnerless(some, size, similar), "id", "left_anti"))
-        # Compared with all of the bucket: finished hubs. A bucket is done if the others lie in one component.
-        rest = left.join(done, ["bucket", "id"], "left_anti")
-        still = rest.groupBy("bucket").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("bucket")
-        rest = written(rest.join(still, "bucket", "left_semi"))
+            for _ in range(2):
+                left = partnered(left, texts, size, similar)
+        # A bucket is done if those that were not its hub lie in one component.
+        rest = written(open_buckets(left.join(done, ["bucket", "id"], "left_anti")))
         if rest.isEmpty():
-            return sigs, groups
+            break
+        other = rest.select("bucket", F.col("id").alias("a"), F.col("part").alias("part_"), F.col("n").alias("n_"), F.col("s").alias("s_"))
         if turn < ROUNDS - 1:
             degree = edges.select(F.col("a").alias("id")).union(edges.select("b")).groupBy("id").agg(F.count("*").alias("degree"))
-            ranked = rest.join(degree, "id", "left").select("bucket", "id", "part", F.coalesce("degree", F.lit(0)).alias("degree"))
-            hub = ranked.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("id"))).alias("m"))
-            hub = written(hub.select("bucket", (-F.col("m.id")).alias("hub")))
-            parts = rest.select("bucket", F.col("id").alias("hub"), F.col("part").alias("hub_part")).join(hub, ["bucket", "hub"])
-            pairs = rest.join(parts, "bucket").where("part <> hub_part").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-            done = written(done.union(hub.select("bucket", F.col("hub").alias("id"))))
+            ranked = rest.join(degree, "id", "left").select("bucket", "id", F.coalesce("degree", F.lit(0)).alias("degree"))
+            top = ranked.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("id"))).alias("m"))
+            hub = written(top.select("bucket", (-F.col("m.id")).alias("id")))
+            pairs = rest.join(other.join(hub.withColumnRenamed("id", "a"), ["bucket", "a"]), "bucket").where(f"part <> part_ AND {fits}").select("a", F.col("id").alias("b"))
+            done = written(done.union(hub))
         else:
-            other = rest.select("bucket", F.col("id").alias("a"), F.col("part").alias("p"))
-            pairs = rest.join(other, "bucket").where("a < id AND p <> part").select("a", F.col("id").alias("b"))
-        edges = written(edges.union(links(pairs)))
-    return sigs, components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+            keys = classes.join(rest.select("id").distinct(), "id", "left_semi").select("id", band_keys().alias("keys"))
+            before = F.slice("keys", 1, F.array_position("keys", F.col("bucket")).cast("int") - 1)
+            mine = rest.join(keys, "id").select(*rest.columns, before.alias("before"))
+            his = mine.select("bucket", F.col("id").alias("a"), F.col("part").alias("part_"), F.col("n").alias("n_"), F.col("s").alias("s_"), F.col("before").alias("before_"))
+            pairs = mine.join(his, "bucket").where(f"a < id AND part_ <> part AND {fits} AND NOT arrays_overlap(before, before_)").select("a", F.col("id").alias("b"))
+        new = links(pairs)
+        edges = written(edges.union(new))
+        groups = joined(groups.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")), new)
+    return sigs, groups
 
 
 def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
@@ -215,5 +234,5 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets = sigs.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"))
     named = sets.join(groups, sets["id"] == groups["node"], "left").select("set_key", F.coalesce("component", "id").alias("component"))
     out = sigs.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
-    part = F.coalesce("component", "doc_id")
+    part = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", part.alias("component_id"), F.coalesce(part == F.col("doc_id"), F.lit(True)).alias("kept"))
