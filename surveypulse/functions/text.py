@@ -55,3 +55,9 @@ def folder_name(path: Column, levels: int = 1) -> Column:
 def decoded(url: Column) -> Column:
     """A file URL as plain text; ``+`` is itself, not a blank."""
     return F.url_decode(F.replace(url, F.lit("+"), F.lit("%2B")))
+
+
+def bad_header(header: Column) -> Column:
+    """Whether a header line gives no layout: it is blank, or names a channel twice."""
+    names = F.split(F.trim(F.regexp_replace(header, r"\s", " ")), " +")
+    return (F.trim(F.regexp_replace(header, r"\s", " ")) == "") | (F.size(F.array_distinct(names)) < F.size(names))

@@ -20,9 +20,9 @@ from surveypulse.reference import MUX_TIMEOUTS
 
 # The patterns of the log.
 STAMP = r"^(\d{2}:\d{2}:\d{2}\.\d):"
-PORT_SENSOR = r"COM(\d+): Macro (\w+) OK"
+PORT_SENSOR = r"(?U)COM(\d+): Macro (\w+) OK"
 PORT_RATE = r"Character Rate on (COM\d+) is ([\d.]+) chars/second"
-MUX_ROUTE = r"(M\d) latches port (COM\d+) runs macro (\w+)"
+MUX_ROUTE = r"(?U)(M\d) latches port (COM\d+) runs macro (\w+)"
 WARNING = r"(?s)Health Warning: (.+?)\|"
 CRITICAL = "!!!!"
 FILE_OPENED = r"(?s)File: (.+?) opened"

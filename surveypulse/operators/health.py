@@ -26,7 +26,7 @@ def connected_ports(ports: DataFrame, rates: DataFrame, keys: Iterable[str] = SE
     """Every port with a sensor, whether or not it reported a rate."""
     keys = [*keys, "port"]
     joined = ports.join(rates, keys, "left")
-    return joined.withColumn("status", connection(F.col("rate")))
+    return joined.withColumns({"status": connection(F.col("rate")), "port_number": port_number(F.col("port"))})
 
 
 def port_status(
@@ -34,13 +34,14 @@ def port_status(
 ) -> DataFrame:
     """Every port that reported a rate; its sensor and name may be unknown (NULL)."""
     names = sensors.select("sensor", "full_name")
-    joined = rates.join(ports, [*keys, "port"], "left").join(F.broadcast(names), "sensor", "left")
-    return joined.select(*keys, "port", "sensor", "full_name", "rate", connection(F.col("rate")).alias("status"))
+    joined = rates.join(ports, [*keys, "port"], "left").join(names, "sensor", "left")
+    return joined.select(*keys, "port", "sensor", "full_name", "rate", connection(F.col("rate")).alias("status"),
+                         port_number(F.col("port")).alias("port_number"))
 
 
 def sensor_rows(sessions: DataFrame) -> DataFrame:
     """One row per session and known sensor, with the sensor's fixed port."""
-    known = [{"sensor_ordinal": i, "sensor": s, "port": p, "full_name": n} for i, (s, p, _, n, _, _) in enumerate(SENSORS)]
+    known = [{"sensor_ordinal": i, "sensor": s, "port": p, "full_name": n} for i, (s, p, n) in enumerate(SENSORS)]
     return per_row(sessions, known)
 
 
@@ -55,7 +56,7 @@ def sensor_status(sessions: DataFrame, rates: DataFrame, keys: Iterable[str] = S
 
 def with_default(df: DataFrame, lookup: DataFrame, on: str, value: str, default: str) -> DataFrame:
     """Look up ``value`` in a constant table; ``default`` where it has no entry."""
-    joined = df.join(F.broadcast(lookup), on, "left")
+    joined = df.join(lookup, on, "left")
     return joined.withColumn(value, F.coalesce(value, F.lit(default)))
 
 
@@ -69,6 +70,14 @@ def channel_state() -> Column:
     )
 
 
+def tenths_of_percent(part: Column, whole: Column) -> Column:
+    """Percent with one decimal as text, rounded half to even on whole numbers."""
+    down = F.floor(1000 * part / whole).cast("bigint")
+    twice = 2 * (1000 * part - down * whole)
+    tenths = down + F.when((twice > whole) | ((twice == whole) & (down % 2 == 1)), 1).otherwise(0)
+    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+
+
 def cross_check(
     connected: DataFrame, stats: DataFrame, mapping: DataFrame, keys: Iterable[str] = SESSION_KEYS
 ) -> DataFrame:
@@ -81,11 +90,11 @@ def cross_check(
     """
     keys = list(keys)
     counts = stats.select(*keys, "channel", "n", "n_null")
-    expected = connected.select(*keys, "port", "sensor", "status").join(F.broadcast(mapping), "sensor", "left")
+    expected = connected.select(*keys, "port", "sensor", "status").join(mapping, "sensor", "left")
     seen = expected.join(counts, [*keys, "channel"], "left").withColumn(
         "_state", F.when(F.col("channel").isNotNull(), channel_state())
     )
-    share = F.format_string("%.1f", 100 * F.try_divide("n_null", "n"))
+    share = tenths_of_percent(F.col("n_null"), F.col("n"))
     text = F.concat(
         "channel", F.lit(":"), F.when(F.col("_state") == "PARTIAL", F.concat(F.lit("PARTIAL("), share, F.lit("%)")))
         .otherwise(F.col("_state")),
@@ -103,7 +112,7 @@ def cross_check(
     return verdicts.select(
         *keys, "port", "sensor", F.col("status").alias("log_status"), "n_channels",
         F.nullif(F.array_join(F.col("_texts.text"), "; "), F.lit("")).alias("channel_states"),
-        F.when(mismatch, "MISMATCH").otherwise("OK").alias("verdict"),
+        F.when(mismatch, "MISMATCH").otherwise("OK").alias("verdict"), port_number(F.col("port")).alias("port_number"),
     )
 
 

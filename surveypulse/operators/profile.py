@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from surveypulse import SESSION_KEYS
 from surveypulse.reference import CONSTANT_STD, EXCELLENT_HDOP
 
-# With more channels than this the aggregate runs on one row per value: the code for a very
-# wide row is too long for the JVM to compile.
-WIDE_CHANNELS = 12
-
 STAT_COLUMNS = ("n", "n_null", "mean", "std", "min", "max", "all_integral")
 
 
@@ -33,22 +29,24 @@ def channel_stats(df: DataFrame, keys: Iterable[str], channels: Iterable[str]) -
     """Row count, missing count, mean, sample deviation, range and wholeness per channel.
 
     One pass for all channels; a missing value is NULL. A channel is ``all_integral`` when
-    its type is a whole-number type and nothing is missing.
+    its type is a whole-number type and nothing is missing. The aggregate runs on one row per
+    value, merged map-side: the code of a row does not grow with the number of channels.
     """
     keys, channels = list(keys), list(channels)
     types = {f.name: f.dataType.typeName() for f in df.schema.fields}
     whole = {c: F.lit(types[c] in ("byte", "short", "integer", "long")) for c in channels}
-    if len(channels) <= WIDE_CHANNELS:
-        one = df.groupBy(*keys).agg(
-            *[F.struct(*_statistics(F.col(c).cast("double"), whole[c])).alias(f"_{i}") for i, c in enumerate(channels)]
-        )
-        rows = [F.struct(F.lit(c).alias("channel"), *[F.col(f"_{i}")[s].alias(s) for s in STAT_COLUMNS])
-                for i, c in enumerate(channels)]
-        return one.select(*keys, F.inline(F.array(*rows)))
     values = [F.struct(F.lit(c).alias("channel"), F.col(c).cast("double").alias("value"), whole[c].alias("whole"))
               for c in channels]
-    long = df.select(*keys, F.inline(F.array(*values)))
-    return long.groupBy(*keys, "channel").agg(*_statistics(F.col("value"), F.col("whole")))
+    # The outer form: the plain one adds a filter that computes the array a second time.
+    long = df.select(*keys, F.inline_outer(F.array(*values)))
+    stats = long.groupBy(*keys, "channel").agg(*_statistics(F.col("value"), F.col("whole")))
+    if keys:
+        return stats
+    # Without keys there is one group even over no rows.
+    named = df.sparkSession.createDataFrame([(c,) for c in channels], "channel STRING")
+    return named.join(stats, "channel", "left").select(
+        "channel", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("n_null", F.lit(0)).alias("n_null"), *STAT_COLUMNS[2:]
+    )
 
 
 def count_cells(cells: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
@@ -97,7 +95,7 @@ def classify(stats: DataFrame, skip: DataFrame | None = None) -> DataFrame:
     kept = stats
     if skip is not None:
         on = [c for c in ("kind", "channel") if c in skip.columns]
-        kept = stats.join(F.broadcast(skip), on, "left_anti")
+        kept = stats.join(skip, on, "left_anti")
     return kept.withColumns({"pct_null": percent_missing(), "class": missing_class()}).where("class IS NOT NULL")
 
 
@@ -119,8 +117,8 @@ def stability_status(present: Column | None = None) -> Column:
 
 def stability(stats: DataFrame, thresholds: DataFrame, descriptions: DataFrame | None = None) -> DataFrame:
     """Statistics with unit, limit and verdict of each channel."""
-    judged = stats.join(F.broadcast(thresholds), "channel", "left").withColumn("status", stability_status())
-    return judged if descriptions is None else judged.join(F.broadcast(descriptions), "channel", "left")
+    judged = stats.join(thresholds, "channel", "left").withColumn("status", stability_status())
+    return judged if descriptions is None else judged.join(descriptions, "channel", "left")
 
 
 def quality_grade(mean: Column) -> Column:

@@ -10,6 +10,8 @@ one or two rows per chunk.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +21,9 @@ from surveypulse.operators.profile import has_data
 
 CHUNK_ROWS = 1 << 20
 
+# Flags per word: channels are numbered through words of whole numbers.
+WORD = 62
+
 
 def chunk_of(order: str, rows: int = CHUNK_ROWS) -> Column:
     """Chunk number of a rising whole-number column: at most ``rows`` rows share one."""
@@ -65,16 +70,16 @@ def ordered_rank(df: DataFrame, keys: Iterable[str], chunk: str, order: str, nam
 
 
 def live_channels(df: DataFrame, keys: Iterable[str], channels: list[str]) -> DataFrame:
-    """Bit per channel that has any value in the key: ``keys, live``."""
-    present = sum((_bit(~F.col(c).isNull(), i) for i, c in enumerate(channels)), F.lit(0))
-    return df.groupBy(*keys).agg(F.bit_or(present).alias("live"))
+    """Bit per channel that has any value in the key: ``keys``, ``live_0`` and so on, a word each."""
+    present = _words([~F.col(c).isNull() for c in channels])
+    return df.groupBy(*keys).agg(*[F.bit_or(w).alias(f"live_{i}") for i, w in enumerate(present)])
 
 
 def live_from_stats(stats: DataFrame, keys: Iterable[str], channels: list[str]) -> DataFrame:
     """The same from channel statistics, without a pass over the rows."""
     known = stats.where(F.col("channel").isin(channels) & has_data())
-    bits = sum((_bit(F.col("channel") == c, i) for i, c in enumerate(channels)), F.lit(0))
-    return known.groupBy(*keys).agg(F.bit_or(bits).alias("live"))
+    bits = _words([F.col("channel") == c for c in channels])
+    return known.groupBy(*keys).agg(*[F.bit_or(w).alias(f"live_{i}") for i, w in enumerate(bits)])
 
 
 def gap_intervals(
@@ -113,18 +118,30 @@ def set_channels(sets: dict[str, list[str]]) -> list[str]:
     return list(dict.fromkeys(c for names in sets.values() for c in names))
 
 
-def _bit(condition: Column, position: int) -> Column:
-    return F.when(condition, F.lit(1 << position)).otherwise(F.lit(0))
+def _words(conditions: list[Column]) -> list[Column]:
+    """The conditions as bits, ``WORD`` to a whole number."""
+    zero = F.lit(0).cast("bigint")
+    bits = [F.when(c, F.lit(1 << i % WORD).cast("bigint")).otherwise(zero) for i, c in enumerate(conditions)]
+    return [sum(bits[at : at + WORD], zero) for at in range(0, len(bits), WORD)]
+
+
+def _mask(positions: list[int], words: int) -> list[Column]:
+    return [F.lit(sum(1 << p % WORD for p in positions if p // WORD == w)).cast("bigint").alias(f"mask_{w}") for w in range(words)]
+
+
+def _any(columns: list[Column]) -> Column:
+    return reduce(or_, [c != 0 for c in columns])
 
 
 def _runs(df: DataFrame, keys: list[str], chunk: str, order: str, time: str, channels: list[str]) -> DataFrame:
-    missing = sum((_bit(F.col(c).isNull(), i) for i, c in enumerate(channels)), F.lit(0))
+    missing = _words([F.col(c).isNull() for c in channels])
+    names = [f"missing_{i}" for i in range(len(missing))]
     rows = df.select(
         *keys, F.col(chunk).alias("chunk"), F.col(order).alias("order"), F.col(time).alias("t"),
-        missing.alias("missing"),
+        *[m.alias(n) for m, n in zip(missing, names, strict=True)],
     )
     here = Window.partitionBy(*keys, "chunk").orderBy("order")
-    changed = F.coalesce(F.lag("missing").over(here) != F.col("missing"), F.lit(True))
+    changed = reduce(or_, [F.coalesce(F.lag(n).over(here) != F.col(n), F.lit(True)) for n in names])
     marked = rows.withColumn("_new", changed.cast("int"))
     run = F.sum("_new").over(here.rowsBetween(Window.unboundedPreceding, 0))
     return (
@@ -132,19 +149,20 @@ def _runs(df: DataFrame, keys: list[str], chunk: str, order: str, time: str, cha
         .groupBy(*keys, "chunk", "run")
         .agg(
             F.min_by("t", "order").alias("t"), F.max_by("t", "order").alias("t_last"),
-            F.min("missing").alias("missing"), F.count("*").alias("n_rows"),
+            *[F.min(n).alias(n) for n in names], F.count("*").alias("n_rows"),
         )
     )
 
 
 def _spans(runs: DataFrame, keys: list[str], sets: dict[str, list[str]], channels: list[str]) -> DataFrame:
+    place = {c: i for i, c in enumerate(channels)}
+    words = range(-(-len(channels) // WORD))
     masks = [
-        F.struct(F.lit(name).alias("plot_set"), F.lit(sum(1 << channels.index(c) for c in names)).alias("mask"))
-        for name, names in sets.items()
+        F.struct(F.lit(name).alias("plot_set"), *_mask([place[c] for c in names], len(words))) for name, names in sets.items()
     ]
-    watched = F.col("live").bitwiseAND(F.col("mask"))
-    flagged = runs.select("*", F.inline(F.array(*masks))).where(watched != 0)
-    flagged = flagged.withColumn("gap", F.col("missing").bitwiseAND(watched) != 0)
+    watched = [F.col(f"live_{w}").bitwiseAND(F.col(f"mask_{w}")) for w in words]
+    flagged = runs.select("*", F.inline(F.array(*masks))).where(_any(watched))
+    flagged = flagged.withColumn("gap", _any([F.col(f"missing_{w}").bitwiseAND(watched[w]) for w in words]))
     here = Window.partitionBy(*keys, "chunk", "plot_set").orderBy("run")
     changed = F.coalesce(F.lag("gap").over(here) != F.col("gap"), F.lit(True))
     numbered = flagged.withColumn("_new", changed.cast("int")).withColumn(

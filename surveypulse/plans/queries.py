@@ -158,15 +158,17 @@ def q_constant_flag(spark, sf_dir):
          avg(CASE WHEN o_totalprice >= {i * 40000} THEN sqrt(o_totalprice) END),
          min(CASE WHEN o_totalprice >= {i * 40000} THEN sqrt(o_totalprice) END),
          max(CASE WHEN o_totalprice >= {i * 40000} THEN sqrt(o_totalprice) END) FROM orders GROUP BY 1, 2"""
-    for i in range(14)) + ")")
+    for i in range(14)) + ") UNION ALL SELECT NULL, NULL, 'level_' || i, 0, 0, NULL, NULL, NULL FROM range(14) r(i)")
 def q_many_channels(spark, sf_dir):
-    """Statistics of a table too wide for one aggregate row."""
+    """Statistics of a wide table; and, without keys, of no rows: a row per channel all the same."""
     price = F.col("o_totalprice")
     levels = [F.when(price >= i * 40000, F.sqrt(price)).alias(f"level_{i}") for i in range(14)]
     wide = _table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority", F.sqrt(price).alias("root"), *levels)
     channels = ["root", *[f"level_{i}" for i in range(14)]]
     stats = profile.channel_stats(wide, ["o_orderstatus", "o_orderpriority"], channels)
-    return stats.select("o_orderstatus", "o_orderpriority", "channel", "n", "n_null", _round("mean", 4), "min", "max")
+    none = profile.channel_stats(wide.where(price < 0), [], channels[1:]).withColumns(
+        {k: F.lit(None).cast("string") for k in ("o_orderstatus", "o_orderpriority")})
+    return stats.unionByName(none).select("o_orderstatus", "o_orderpriority", "channel", "n", "n_null", _round("mean", 4), "min", "max")
 
 
 def _gps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,6 +216,30 @@ def q_position_scatter(spark, sf_dir):
 _SETS = {"reading": ["reading"], "pair": ["reading", "second"]}
 
 
+_WIDE = 70
+
+
+@_query(f"""WITH flags AS (SELECT user_id, event_id, CAST(event_id AS DOUBLE) AS t, event_id % 7 = 0 AS low, event_id % 11 = 0 AS high FROM events),
+flagged AS (SELECT user_id, 'last' AS plot_set, event_id, t, high AS gap FROM flags UNION ALL
+            SELECT user_id, 'all', event_id, t, low OR high FROM flags),
+live AS (SELECT user_id, plot_set FROM flagged GROUP BY 1, 2 HAVING NOT bool_and(gap)),
+marked AS (SELECT f.*, CASE WHEN lag(gap) OVER w IS DISTINCT FROM gap THEN 1 ELSE 0 END AS new, lead(t) OVER w AS next
+           FROM flagged f JOIN live USING (user_id, plot_set) WINDOW w AS (PARTITION BY user_id, plot_set ORDER BY event_id)),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY user_id, plot_set ORDER BY event_id) AS island FROM marked)
+SELECT user_id, plot_set, min(t) AS t_start, coalesce(max(next), max(t)) AS t_end, count(*) AS n_rows
+FROM numbered WHERE gap GROUP BY user_id, plot_set, island""")
+def q_gap_wide(spark, sf_dir):
+    """Missing spans over more channels than a number has bits: the first is missing in each seventh
+    row, the last in each eleventh, those between never."""
+    rows = _table(spark, sf_dir, "events").select(
+        "user_id", "event_id", series.chunk_of("event_id").alias("chunk"), F.col("event_id").cast("double").alias("t"),
+        F.when(F.col("event_id") % 7 != 0, 1.0).alias("c0"), *[F.lit(1.0).alias(f"c{i}") for i in range(1, _WIDE - 1)],
+        F.when(F.col("event_id") % 11 != 0, 1.0).alias(f"c{_WIDE - 1}"),
+    )
+    sets = {"last": [f"c{_WIDE - 1}"], "all": [f"c{i}" for i in range(_WIDE)]}
+    return series.gap_intervals(rows, ["user_id"], "chunk", "event_id", "t", sets)
+
+
 @_query(f"""WITH {_SERIES}, live AS (
   SELECT user_id, count(reading) > 0 AS a, count(second) > 0 AS b FROM series GROUP BY 1),
 flagged AS (
@@ -387,7 +413,7 @@ connected AS (SELECT p.day, p.port, sensor, rate,
   CASE WHEN coalesce(rate, 0) > 0 THEN 'CONNECTED' ELSE 'DISCONNECTED' END AS status
   FROM ports p LEFT JOIN rates r ON p.day = r.day AND p.port = r.port)"""
 
-_KNOWN = f"known(sensor, port, full_name) AS (VALUES {_values([(s[0], s[1], s[3]) for s in ref.SENSORS])})"
+_KNOWN = f"known(sensor, port, full_name) AS (VALUES {_values([(s[0], s[1], s[2]) for s in ref.SENSORS])})"
 
 
 @_query(f"""WITH {_LOG} SELECT day, port, sensor, CAST(substr(port, 4) AS BIGINT) AS port_number FROM ports""")
@@ -446,14 +472,18 @@ def q_session_window(spark, sf_dir):
     return found.select("day", "start_ts", "end_ts", _round("duration_s", 1))
 
 
-@_query(f"""WITH {_LOG} SELECT * FROM connected""")
+@_query(f"""WITH {_LOG} SELECT *, CAST(substr(port, 4) AS BIGINT) AS port_number FROM connected
+-- Each port has a rate on some day; on a day of its own one has none.
+UNION ALL SELECT -1, 'COM3', 'GEMK1', NULL, 'DISCONNECTED', 3""")
 def q_connected_ports(spark, sf_dir):
     """Ports with a sensor, connected or not; no rate counts as 0."""
     facts = _facts(spark, sf_dir)
-    return health.connected_ports(events.ports(facts, ["day"]), events.rates(facts, ["day"]), ["day"])
+    found = events.ports(facts, ["day"])
+    silent = found.limit(1).select(F.lit(-1).alias("day"), F.lit("COM3").alias("port"), F.lit("GEMK1").alias("sensor"))
+    return health.connected_ports(found.unionByName(silent), events.rates(facts, ["day"]), ["day"])
 
 
-@_query(f"""WITH {_LOG}, {_KNOWN} SELECT r.day, r.port, p.sensor, k.full_name, r.rate,
+@_query(f"""WITH {_LOG}, {_KNOWN} SELECT r.day, r.port, p.sensor, k.full_name, r.rate, CAST(substr(r.port, 4) AS BIGINT) AS port_number,
   CASE WHEN r.rate > 0 THEN 'CONNECTED' ELSE 'DISCONNECTED' END AS status
 FROM rates r LEFT JOIN ports p ON r.day = p.day AND r.port = p.port LEFT JOIN known k ON k.sensor = p.sensor""")
 def q_port_status(spark, sf_dir):
@@ -514,11 +544,15 @@ _MAPPING = f"mapping(sensor, channel, ordinal) AS (VALUES {_values(_MAPPED)})"
 @_query(f"""WITH {_LOG}, {_STATS}, {_MAPPING}, seen AS (
   SELECT c.day, c.port, c.sensor, c.status, m.channel, m.ordinal,
          CASE WHEN m.channel IS NULL THEN NULL WHEN s.n IS NULL THEN 'ABSENT' WHEN s.n_null = s.n THEN 'ALL_NaN'
-              WHEN s.n_null > 0 THEN 'PARTIAL' ELSE 'OK' END AS state
+              WHEN s.n_null > 0 THEN 'PARTIAL' ELSE 'OK' END AS state,
+         -- Half to even, on whole numbers.
+         1000 * s.n_null // s.n + CASE WHEN 2 * (1000 * s.n_null % s.n) > s.n
+           OR (2 * (1000 * s.n_null % s.n) = s.n AND (1000 * s.n_null // s.n) % 2 = 1) THEN 1 ELSE 0 END AS tenths
   FROM connected c LEFT JOIN mapping m ON m.sensor = c.sensor
   LEFT JOIN counts s ON s.day = c.day AND s.channel = m.channel AND s.channel <> 'Sk')
 SELECT day, port, sensor, status AS log_status, count(channel) AS n_channels,
-       string_agg(channel || ':' || state, '; ' ORDER BY ordinal) AS channel_states,
+       string_agg(channel || ':' || state || CASE WHEN state = 'PARTIAL' THEN '(' || (tenths // 10) || '.' || (tenths % 10) || '%)' ELSE '' END,
+                  '; ' ORDER BY ordinal) AS channel_states, CAST(substr(port, 4) AS BIGINT) AS port_number,
        CASE WHEN status = 'DISCONNECTED' AND coalesce(bool_or(state = 'OK'), FALSE) THEN 'MISMATCH'
             WHEN status = 'CONNECTED' AND coalesce(bool_and(state IN ('ALL_NaN', 'ABSENT')), FALSE) THEN 'MISMATCH'
             ELSE 'OK' END AS verdict
@@ -528,9 +562,7 @@ def q_cross_check(spark, sf_dir):
     facts = _facts(spark, sf_dir)
     connected = health.connected_ports(events.ports(facts, ["day"]), events.rates(facts, ["day"]), ["day"])
     stats = _channels(spark, sf_dir).where(F.col("channel").isin(_MAG))
-    checked = health.cross_check(connected, stats, ref.sensor_channels(spark), ["day"])
-    # The share of missing rows is a number elsewhere; as text it rounds differently per engine.
-    return checked.withColumn("channel_states", F.regexp_replace("channel_states", r"\([^)]*\)", ""))
+    return health.cross_check(connected, stats, ref.sensor_channels(spark), ["day"])
 
 
 @_query(f"""WITH {_LOG}, {_STATS}, {_MAPPING}, {_KNOWN},
@@ -620,41 +652,47 @@ def q_magnetometer_gaps(spark, sf_dir):
 # -- configuration ------------------------------------------------------------------------
 
 
-def _configs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each order as a small configuration document, three levels deep."""
-    def item(tag: str | Column, *inside: Column | str) -> Column:
-        parts = [F.lit('<Object Tag="'), F.lit(tag) if isinstance(tag, str) else tag, F.lit('">')]
-        return F.concat(*parts, *[F.lit(p) if isinstance(p, str) else p for p in inside], F.lit("</Object>"))
+_LEVELS = 9
+
+
+def _configs(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
+    """Each order as a small configuration document: objects nine levels deep, one under a wrapper
+    element, and a setting that is no object. With ``broken``, each seventh is cut short."""
+    def item(tag: str | Column, *inside: Column | str, name: str = "Object") -> Column:
+        parts = [F.lit(f'<{name} Tag="'), F.lit(tag) if isinstance(tag, str) else tag, F.lit('">')]
+        return F.concat(*parts, *[F.lit(p) if isinstance(p, str) else p for p in inside], F.lit(f"</{name}>"))
 
     def value(content: Column) -> Column:
         return F.concat(F.lit("<Value> "), content, F.lit(" </Value>"))
 
     port = F.concat(F.lit("COM"), (3 + F.col("o_custkey") % 8).cast("string"), F.lit("STATE"))
+    deep = F.lit("")
+    for level in range(_LEVELS, 0, -1):
+        deep = item(f"L{level}", value(F.lit(str(level))), deep)
     document = F.concat(
         F.lit("<Root>"),
         item("COMPNAME", value(F.col("o_orderpriority"))),
-        item(port, value(F.col("o_orderstatus")), item("BAUD", value(F.col("o_custkey").cast("string"))),
+        item(port, value(F.col("o_orderstatus")), item("BAUD", value(F.col("o_custkey").cast("string")), name="Setting"),
              item("MACRO", value(F.lit("?"))),
              item("MACRO", value(F.col("o_orderpriority")), item("LOGLEVEL", value(F.lit("3"))))),
-        item("NAVNAME", "<Value/>"), item("UNSET"),
+        item("NAVNAME", "<Value/>"), item("UNSET"), deep,
+        F.lit("<Group>"), item("WRAPPED", value(F.lit("w"))), F.lit("</Group>"),
         item("COMPNAME", value(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))),
         F.lit("</Root>"),
     )
-    # Spread by session while rows are short: the aggregates by session need no other shuffle. The
-    # number of partitions is given because parsing weighs more than the bytes tell.
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    orders = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
-    ).repartition(partitions, "o_orderkey")
-    texts = orders.select(F.col("o_orderkey").alias("session"), document.alias("xml"))
-    return config_xml.all_objects(config_xml.parse_config(texts, "xml", ["session"], 3), ["session"], 3)
+    if broken:
+        document = F.when(F.col("o_orderkey") % 7 == 0, F.substring(document, 1, 200)).otherwise(document)
+    texts = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("session"), document.alias("xml"))
+    return config_xml.parse_config(texts, "xml", ["session"])
 
 
 _PRICE = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)"
 
 
-@_query(f"""SELECT o_orderkey AS session, unnest(['COMPNAME', 'COM' || (3 + o_custkey % 8) || 'STATE', 'BAUD', 'MACRO', 'LOGLEVEL', 'NAVNAME']) AS tag,
-  unnest([{_PRICE}, o_orderstatus, CAST(o_custkey AS VARCHAR), o_orderpriority, '3', '']) AS value FROM orders""")
+@_query(f"""SELECT o_orderkey AS session, unnest(['COMPNAME', 'COM' || (3 + o_custkey % 8) || 'STATE', 'MACRO', 'LOGLEVEL', 'NAVNAME']) AS tag,
+  unnest([{_PRICE}, o_orderstatus, o_orderpriority, '3', '']) AS value FROM orders
+UNION ALL SELECT o_orderkey, 'L' || i, CAST(i AS VARCHAR) FROM orders, range(1, {_LEVELS + 1}) r(i)
+UNION ALL SELECT o_orderkey, 'WRAPPED', 'w' FROM orders""")
 def q_config_tags(spark, sf_dir):
     """Configuration trees flattened; the last object of a tag wins."""
     return config_xml.config_tags(_configs(spark, sf_dir), ["session"])
@@ -672,3 +710,9 @@ def q_config_ports(spark, sf_dir):
 def q_config_summary(spark, sf_dir):
     """The six named settings, side by side."""
     return config_xml.config_summary(config_xml.config_tags(_configs(spark, sf_dir), ["session"]), ["session"])
+
+
+@_query("SELECT o_orderkey AS session FROM orders WHERE o_orderkey % 7 = 0")
+def q_config_broken(spark, sf_dir):
+    """Configurations that cannot be read, a row each."""
+    return config_xml.broken_configs(_configs(spark, sf_dir, broken=True), ["session"]).select("session")

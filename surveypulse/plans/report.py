@@ -23,8 +23,10 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> None:
         df = df.select("*", "pos.*").drop("pos")
     if "first_pos" in df.columns and file_format == "csv":
         df = df.select("*", "first_pos.*").drop("first_pos")
-    balanced = df.hint("rebalance", *SESSION_KEYS)
-    writer = balanced.write.mode("overwrite").partitionBy("dataset")
+    keys = [k for k in SESSION_KEYS if k in df.columns]
+    writer = df.hint("rebalance", *keys).write.mode("overwrite")
+    if "dataset" in keys:  # numbers that no log names belong to none
+        writer = writer.partitionBy("dataset")
     if file_format == "csv":
         writer = writer.option("header", True)
     writer.format(file_format).save(path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveypulse import SESSION_KEYS
@@ -22,6 +22,11 @@ from surveypulse.sources import config_xml, files, fixed_width, lines
 KEYS = list(SESSION_KEYS)
 
 
+def _ordinal(channels: list[str]) -> Column:
+    """Declared place of ``channel``, from 0."""
+    return (F.array_position(F.array(*map(F.lit, channels)), F.col("channel")) - 1).cast("int").alias("channel_ordinal")
+
+
 class StatusRun:
     """Tables of a run, each made on first use. ``close()`` frees the cached ones."""
 
@@ -48,6 +53,11 @@ class StatusRun:
         found = files.discover(self.spark, self.folders, self.levels)
         return self._keep(files.select_sessions(found, self.numbers))
 
+    @cached_property
+    def sessions_missing(self) -> DataFrame:
+        found = files.discover(self.spark, self.folders, self.levels)
+        return files.sessions_missing(found, self.numbers)
+
     @cached_property
     def files(self) -> DataFrame:
         return self._keep(files.inventory(self.sessions))
@@ -68,7 +78,8 @@ class StatusRun:
 
     @cached_property
     def ports(self) -> DataFrame:
-        return self._keep(events.ports(self.facts))
+        found = events.ports(self.facts)
+        return self._keep(found.withColumn("port_number", health.port_number(F.col("port"))))
 
     @cached_property
     def rates(self) -> DataFrame:
@@ -97,11 +108,11 @@ class StatusRun:
 
     @cached_property
     def connected_ports(self) -> DataFrame:
-        return health.connected_ports(self.ports, self.rates)
+        return health.connected_ports(self.ports.drop("port_number"), self.rates)
 
     @cached_property
     def port_status(self) -> DataFrame:
-        return health.port_status(self.rates, self.ports, ref.sensor_ref(self.spark))
+        return health.port_status(self.rates, self.ports.drop("port_number"), ref.sensor_ref(self.spark))
 
     @cached_property
     def sensor_status(self) -> DataFrame:
@@ -114,38 +125,32 @@ class StatusRun:
     # -- configuration ------------------------------------------------------------------
 
     @cached_property
-    def config_objects(self) -> DataFrame:
-        raw = config_xml.config_objects(self.spark, self.folders, self.numbers, self.levels)
+    def configs(self) -> DataFrame:
+        raw = config_xml.read_configs(self.spark, self.folders, self.numbers, self.levels)
         return self._keep(raw.join(self.sessions.select(*KEYS), KEYS, "left_semi"))
 
-    @cached_property
-    def _config_found(self) -> DataFrame:
-        return config_xml.all_objects(self.config_objects)
-
     @cached_property
     def config_tags(self) -> DataFrame:
-        return self._keep(config_xml.config_tags(self._config_found))
+        return config_xml.config_tags(self.configs)
 
     @cached_property
     def config_ports(self) -> DataFrame:
-        return config_xml.config_ports(self._config_found)
+        return config_xml.config_ports(self.configs)
 
     @cached_property
     def config_summary(self) -> DataFrame:
         return config_xml.config_summary(self.config_tags)
 
     @cached_property
-    def config_too_deep(self) -> DataFrame:
-        return config_xml.too_deep(self.config_objects)
+    def config_broken(self) -> DataFrame:
+        return config_xml.broken_configs(self.configs)
 
     # -- fixed-width tables -------------------------------------------------------------
 
     @cached_property
     def layouts(self) -> DataFrame:
-        headed = self.files.where("header IS NOT NULL").select(*KEYS, "kind", "header")
-        laid_out = self._keep(fixed_width.layouts(headed))
-        fixed_width.check_layouts(laid_out)
-        return laid_out
+        headed = self.files.where("state = 'OK' AND header IS NOT NULL").select(*KEYS, "kind", "header")
+        return self._keep(fixed_width.layouts(headed))
 
     @cached_property
     def channels_present(self) -> DataFrame:
@@ -199,19 +204,19 @@ class StatusRun:
         names = F.create_map(*[F.lit(x) for pair in ref.GPS_CHANNELS for x in pair])
         shown = profile.gated(self.stats("GGA"), [c for c, _ in ref.GPS_CHANNELS], "dHdop", KEYS)
         grade = F.when(F.col("channel") == "dHdop", profile.quality_grade(F.col("mean")))
-        return shown.select(*KEYS, "channel", F.try_element_at(names, F.col("channel")).alias("label"),
-                            "mean", "std", grade.alias("grade"))
+        return shown.select(*KEYS, _ordinal([c for c, _ in ref.GPS_CHANNELS]), "channel",
+                            F.try_element_at(names, F.col("channel")).alias("label"), "mean", "std", grade.alias("grade"))
 
     @cached_property
     def position_scatter(self) -> DataFrame:
         shown = profile.gated(self.stats("GGA"), ref.POSITION_CHANNELS, "dHdop", KEYS)
-        return shown.select(*KEYS, "channel", "std")
+        return shown.select(*KEYS, _ordinal(ref.POSITION_CHANNELS), "channel", "std")
 
     @cached_property
     def environment(self) -> DataFrame:
         shown = self.stats("SPC").where(F.col("channel").isin(ref.ENVIRONMENT_CHANNELS) & profile.has_data())
-        told = shown.join(F.broadcast(ref.column_desc(self.spark)), "channel", "left")
-        return told.select(*KEYS, "channel", "description", "mean", "std",
+        told = shown.join(ref.column_desc(self.spark), "channel", "left")
+        return told.select(*KEYS, _ordinal(ref.ENVIRONMENT_CHANNELS), "channel", "description", "mean", "std",
                            profile.is_constant(F.col("std")).alias("constant"))
 
     @cached_property
@@ -288,24 +293,27 @@ class StatusRun:
         pairs = [(kind, name, c, i) for kind, sets in ref.PLOT_SETS.items() for name, channels in sets.items()
                  for i, c in enumerate(channels)]
         shown = self.spark.createDataFrame(pairs, "kind STRING, plot_set STRING, channel STRING, channel_ordinal INT")
-        valid = self.channel_stats.where(profile.has_data()).join(F.broadcast(shown), ["kind", "channel"])
+        valid = self.channel_stats.where(profile.has_data()).join(shown, ["kind", "channel"])
         return valid.select(*KEYS, "kind", "plot_set", "channel_ordinal", "channel", "mean", "std")
 
     # -- summary and comparison ---------------------------------------------------------
 
     @cached_property
     def session_summary(self) -> DataFrame:
-        rows = self.row_counts.groupBy(*KEYS).agg(
-            *[F.max(F.when(F.col("kind") == k, F.col("n_rows"))).alias(f"{k.lower()}_rows") for k in files.TABLE_KINDS]
+        # A file that is there and has no rows counts 0; of a missing or unreadable one nothing is known.
+        states = self.files.select(*KEYS, "kind", "state").join(self.row_counts, [*KEYS, "kind"], "left")
+        size = F.when(F.col("state") == "EMPTY", F.lit(0)).otherwise(F.col("n_rows"))
+        rows = states.groupBy(*KEYS).agg(
+            *[F.max(F.when(F.col("kind") == k, size)).alias(f"{k.lower()}_rows") for k in files.TABLE_KINDS]
         )
         critical = self.critical.groupBy(*KEYS).agg(F.count("*").alias("n_critical"))
         warned = events.warning_totals(self.warnings)
         joined = self.sessions.select(*KEYS)
         for part in (self.session_window, rows, critical, warned):
             joined = joined.join(part, KEYS, "left")
-        counts = [F.coalesce(c, F.lit(0)).alias(c)
-                  for c in ("mag_rows", "gga_rows", "spc_rows", "n_critical", "n_warnings", "n_mux_timeouts")]
-        return joined.select(*KEYS, F.to_date("start_ts").alias("date"), "start_ts", "end_ts", "duration_s", *counts)
+        counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_critical", "n_warnings", "n_mux_timeouts")]
+        sizes = [f"{k.lower()}_rows" for k in files.TABLE_KINDS]
+        return joined.select(*KEYS, F.to_date("start_ts").alias("date"), "start_ts", "end_ts", "duration_s", *sizes, *counts)
 
     @cached_property
     def _compared(self) -> DataFrame:
@@ -324,9 +332,9 @@ class StatusRun:
     def tables(self, plots: bool = True) -> dict[str, DataFrame]:
         """All result tables by name."""
         names = [
-            "sessions", "files_missing", "sensor_status", "ports", "rates", "port_status", "mux", "warnings",
+            "sessions", "sessions_missing", "files_missing", "sensor_status", "ports", "rates", "port_status", "mux", "warnings",
             "critical", "file_opens", "session_window", "config_tags", "config_ports", "config_summary",
-            "config_too_deep", "channels_present", "channel_stats", "row_counts", "column_classes", "gps_quality",
+            "config_broken", "channels_present", "channel_stats", "row_counts", "column_classes", "gps_quality",
             "position_scatter", "spectrometer_status", "environment", "stability", "cross_check",
             "magnetometer_gaps", "session_summary", "compare_status", "compare_means",
         ]

@@ -11,25 +11,14 @@ from pyspark.sql import functions as F
 
 # sensor, port, label, full name, description, related MAG columns
 SENSORS = [
-    ("GEMK1", "COM3", "P3", "Magnetometer #1 (Port side)",
-     "GEM Systems KING-AIR towed fluxgate magnetometer – total field",
-     ["Mag1", "Mag1D", "Mag1C", "A1", "T1", "X1", "Y1", "Z1"]),
-    ("GEMK2", "COM4", "P4", "Magnetometer #2 (Starboard side)",
-     "GEM Systems KING-AIR towed fluxgate magnetometer – total field",
-     ["Mag2", "Mag2D", "Mag2C", "A2", "T2", "X2", "Y2", "Z2"]),
-    ("GDRAlt", "COM5", "P5", "Radar Altimeter",
-     "Measures height above ground (AGL) in metres", ["Ralt", "Raltr"]),
-    ("GD485", "COM6", "P6", "ADC 4-channel VLF receiver (RS-485 bus)",
-     "Analogue-to-digital converter for VLF EM channels",
-     ["MagL", "MagLC", "Vlf1", "Vlf2", "Vlf3", "Vlf4"]),
-    ("XSENS", "COM7", "P7", "AHRS / GPS attitude sensor",
-     "XSENS MTi inertial measurement unit – Roll, Pitch, Yaw", ["Roll", "Pitch", "Yaw"]),
-    ("GDGPS", "COM8", "P8", "Septentrio differential GPS",
-     "High-precision GNSS receiver – position and altitude", ["Xgps", "Ygps", "Zgps", "Lalt"]),
-    ("GDSpec", "COM9", "P9", "Medusa Gamma-Ray Spectrometer",
-     "Gamma-ray spectrometer with environmental sensors", ["Vlf1", "Vlf2", "Vlf3", "Vlf4"]),
-    ("GDLas", "COM10", "P10", "Laser Altimeter",
-     "Laser rangefinder for precise terrain clearance", []),
+    ("GEMK1", "COM3", "Magnetometer #1 (Port side)"),
+    ("GEMK2", "COM4", "Magnetometer #2 (Starboard side)"),
+    ("GDRAlt", "COM5", "Radar Altimeter"),
+    ("GD485", "COM6", "ADC 4-channel VLF receiver (RS-485 bus)"),
+    ("XSENS", "COM7", "AHRS / GPS attitude sensor"),
+    ("GDGPS", "COM8", "Septentrio differential GPS"),
+    ("GDSpec", "COM9", "Medusa Gamma-Ray Spectrometer"),
+    ("GDLas", "COM10", "Laser Altimeter"),
 ]
 
 COLUMN_DESCRIPTIONS = {
@@ -192,8 +181,7 @@ def sensor_ref(spark: SparkSession) -> DataFrame:
     rows = [(i, *s) for i, s in enumerate(SENSORS)]
     return spark.createDataFrame(
         rows,
-        "ordinal INT, sensor STRING, port STRING, label STRING, full_name STRING, description STRING, "
-        "mag_cols ARRAY<STRING>",
+        "ordinal INT, sensor STRING, port STRING, full_name STRING",
     )
 
 
@@ -219,13 +207,6 @@ def skip_channels(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "kind STRING, channel STRING")
 
 
-def kind_channels(spark: SparkSession, channels: dict[str, list[str]]) -> DataFrame:
-    """A ``kind -> channels`` list in declared order."""
-    pairs = [(kind, c) for kind, names in channels.items() for c in names]
-    rows = [(kind, c, i) for i, (kind, c) in enumerate(pairs)]
-    return spark.createDataFrame(rows, "kind STRING, channel STRING, ordinal INT")
-
-
 def per_row(df: DataFrame, rows: list[dict]) -> DataFrame:
     """Repeat each row of ``df`` once per constant row: a literal array exploded in place.
 

@@ -2,9 +2,30 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once per application: sessions may have it on the driver's path only."""
+    context = spark.sparkContext
+    if getattr(context, "_surveypulse_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="surveypulse-"), "surveypulse.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("surveypulse", os.path.relpath(path, root)))
+    context.addPyFile(out)
+    context._surveypulse_shipped = True
+
+
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session with the settings the operators expect."""
     spark = (

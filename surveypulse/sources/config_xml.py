@@ -1,130 +1,103 @@
 """Configuration snapshots: a tree of ``<Object Tag=...><Value>``, flattened.
 
-The tree is read with a declared schema, as deep as ``depth``; anything deeper arrives as
-text in the last level and is reported by :func:`too_deep` instead of being lost unseen.
+A document is one small row. A small parser flattens it where it stands, whatever its depth and
+whatever elements wrap its objects, so that nothing is shuffled and no object is lost. A document
+that cannot be parsed is a row with the reason.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Iterator
+from xml.etree import ElementTree
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from surveypulse import SESSION_KEYS
-from surveypulse.functions.text import strip
 from surveypulse.reference import CONFIG_SUMMARY_TAGS
-from surveypulse.sources.lines import LINE_SCHEMA, file_globs, load, scan_columns, session_files
+from surveypulse.session import ship_package
+from surveypulse.sources.lines import file_globs, load, scan_columns, session_files
 
-DEPTH = 6
+_PORT = re.compile(r"COM(\d+)STATE")
+_PARSED = "state STRING, error STRING, tags ARRAY<STRUCT<tag: STRING, value: STRING>>, ports ARRAY<STRUCT<com: STRING, state: STRING, baud: STRING, macro: STRING>>"
+_TAGS = pa.list_(pa.struct([("tag", pa.string()), ("value", pa.string())]))
+_PORTS = pa.list_(pa.struct([(n, pa.string()) for n in ("com", "state", "baud", "macro")]))
 
 
-def object_schema(depth: int = DEPTH) -> str:
-    """DDL of one ``Object`` element with ``depth`` levels of objects in it."""
-    inner = "STRING" if depth <= 1 else f"STRUCT<{object_schema(depth - 1)}>"
-    return f"_Tag STRING, Value ARRAY<STRING>, Object ARRAY<{inner}>"
-
-
-def config_objects(
-    spark: SparkSession, folders: str | list[str], sessions: list[int] | None = None, levels: int = 1,
-    depth: int = DEPTH,
+def read_configs(
+    spark: SparkSession, folders: str | list[str], sessions: list[int] | None = None, levels: int = 1
 ) -> DataFrame:
-    """Outermost objects of the configuration files: ``dataset, session, block, mid, object``."""
-    reader = spark.read.format("xml").option("rowTag", "Object").schema(object_schema(depth))
-    raw = load(reader.load, file_globs(folders, "Cfg", "xml"))
+    """Configuration files, parsed: ``dataset, session, state, error, tags, ports``."""
+    raw = load(spark.read.format("binaryFile").load, file_globs(folders, "Cfg", "xml"))
     if raw is None:
-        return spark.createDataFrame([], f"{LINE_SCHEMA}, object STRUCT<{object_schema(depth)}>")
+        return spark.createDataFrame([], f"dataset STRING, session INT, {_PARSED}")
     scan = session_files(raw, "Cfg", sessions, "xml")
-    return scan.select(*scan_columns(levels), F.struct("_Tag", "Value", "Object").alias("object"))
-
+    return parse_config(scan.select(*scan_columns(levels)[:2], "content"), "content", SESSION_KEYS)
 
-def parse_config(df: DataFrame, xml: str, keys: Iterable[str], depth: int = DEPTH) -> DataFrame:
-    """The same objects from a column that holds a whole configuration as text."""
-    # The outer form, here and elsewhere: for the plain one Spark adds a filter on the size of the
-    # array, which computes the array a second time.
-    tree = F.from_xml(F.col(xml), f"Object ARRAY<STRUCT<{object_schema(depth)}>>")
-    objects = df.select(*keys, F.posexplode_outer(tree["Object"]).alias("mid", "object")).where(
-        "object IS NOT NULL"
-    )
-    return objects.select(*keys, F.lit(0).cast("bigint").alias("block"), F.col("mid").cast("bigint"), "object")
 
+def parse_config(df: DataFrame, xml: str, keys: Iterable[str]) -> DataFrame:
+    """One row per document of the column ``xml`` (text or bytes) with
 
-def all_objects(objects: DataFrame, keys: Iterable[str] = SESSION_KEYS, depth: int = DEPTH) -> DataFrame:
-    """Objects of every level: ``keys, path, tag, value, inner``, ``path`` in document order.
-
-    ``value`` is NULL for an object without one and ``''`` for an empty one; ``inner`` holds
-    tag and value of the objects directly below. A tree is flattened inside its row, each
-    object before those in it, so the source is read once however deep it is. ``inner`` is
-    filled for objects that may be a port.
+    * ``state``, ``OK`` or ``BROKEN``, and ``error``, why;
+    * ``tags``: tag and value of the last object of each tag that has a value, in order of first use;
+    * ``ports``: the settings of each ``COM<n>STATE`` object, a later one replacing an earlier one.
     """
-    found = objects.select(*keys, "block", "mid", F.posexplode_outer(_with_inner(F.col("object"), depth)).alias("_i", "_o"))
-    return found.select(*keys, F.struct("block", "mid", "_i").alias("path"), "_o.*")
-
-
-def _with_inner(node: Column, depth: int) -> Column:
-    """The object and all objects below it, as one array in document order."""
-    children = node["Object"] if depth > 1 else None
-    nothing = F.array().cast(_INNER)
-    inner = nothing if children is None else F.when(
-        F.startswith(node["_Tag"], F.lit("COM")),
-        F.transform(children, lambda o: F.struct(
-            o["_Tag"].alias("tag"), F.coalesce(first_value(o["Value"]), F.lit("")).alias("value")
-        )),
-    ).otherwise(nothing)
-    own = F.array(F.struct(node["_Tag"].alias("tag"), first_value(node["Value"]).alias("value"), inner.alias("inner")))
-    if children is None:
-        return own
-    below = F.flatten(F.transform(children, lambda o: _with_inner(o, depth - 1)))
-    return F.when(F.size(children) > 0, F.concat(own, below)).otherwise(own)
-
-
-_INNER = "ARRAY<STRUCT<tag: STRING, value: STRING>>"
-
-
-def first_value(values: Column) -> Column:
-    """Text of the first ``Value`` element, stripped; NULL when there is none."""
-    return F.when(F.size(values) > 0, strip(F.coalesce(F.get(values, 0), F.lit(""))))
-
-
-def too_deep(objects: DataFrame, keys: Iterable[str] = SESSION_KEYS, depth: int = DEPTH) -> DataFrame:
-    """Keys of configurations that nest objects below the declared depth."""
-    level = objects.select(*keys, "object")
-    for _ in range(depth - 1):
-        level = level.select(*keys, F.explode("object.Object").alias("object"))
-    return level.where(F.size("object.Object") > 0).select(*keys).distinct()
-
-
-def config_tags(found: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
+    ship_package(df.sparkSession)
+    keys = list(keys)
+    picked = df.select(*keys, F.col(xml).alias("_xml"))
+    fields = StructType([picked.schema[k] for k in keys]).fields
+    schema = StructType([*(StructField(f.name, f.dataType) for f in fields), *StructType.fromDDL(_PARSED).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_flattened(x) for x in batch.column("_xml").to_pylist()]
+            columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.string(), _TAGS, _PORTS))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *columns], [*keys, "state", "error", "tags", "ports"])
+
+    return picked.mapInArrow(run, schema)
+
+
+def _flattened(xml: str | bytes | None) -> tuple[str, str | None, list[dict], list[dict]]:
+    try:
+        root = ElementTree.fromstring(xml or "")
+    except (ElementTree.ParseError, ValueError, LookupError) as error:
+        return "BROKEN", str(error), [], []
+    tags: dict[str, str] = {}
+    ports: dict[str, dict] = {}
+    for node in root.iter("Object"):
+        value = node.find("Value")
+        if node.get("Tag") and value is not None:
+            tags[node.get("Tag")] = (value.text or "").strip()
+    for node in root.iter("Object"):
+        port = _PORT.match(node.get("Tag", ""))
+        if port:
+            com = f"COM{port[1]}"
+            ports[com] = {"com": com, "state": tags.get(node.get("Tag")), "baud": _setting(node, "BAUD"), "macro": _setting(node, "MACRO")}
+    return "OK", None, [{"tag": t, "value": v} for t, v in tags.items()], list(ports.values())
+
+
+def _setting(node: ElementTree.Element, tag: str) -> str:
+    """Value of the first element of that tag directly below that says anything but ``?``."""
+    said = ((child.findtext("Value") or "").strip() for child in node if child.get("Tag") == tag)
+    return next((v for v in said if v != "?"), "?")
+
+
+def broken_configs(parsed: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
+    """Configurations that could not be read, with the reason."""
+    return parsed.where("state = 'BROKEN'").select(*keys, "error")
+
+
+def config_tags(parsed: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
     """Flat ``tag, value`` pairs; the last object of a tag in document order wins."""
-    tagged = found.where((F.col("tag") != "") & F.col("value").isNotNull())
-    return tagged.groupBy(*keys, "tag").agg(F.max_by("value", "path").alias("value"))
-
+    return parsed.select(*keys, F.inline("tags"))
 
-def config_ports(found: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
-    """Settings per port: ``com, state, baud, macro``.
 
-    A port is any object whose tag starts with ``COM<n>STATE``; a later one replaces an
-    earlier one. Its state is the final flat value of the same tag. Both are found by tag in
-    one aggregate: a tag belongs to one port only.
-    """
-    keys = list(keys)
-    number = F.regexp_extract("tag", r"^COM(\d+)STATE", 1)
-    ports = found.where(number != "").select(
-        *keys, "path", "tag", "value", F.concat(F.lit("COM"), number).alias("com"),
-        _setting("BAUD").alias("baud"), _setting("MACRO").alias("macro"),
-    )
-    by_tag = ports.groupBy(*keys, "com", "tag").agg(
-        F.max("path").alias("path"), F.max_by(F.struct("baud", "macro"), "path").alias("_own"),
-        F.max_by("value", F.when(F.col("value").isNotNull(), F.col("path"))).alias("state"),
-    )
-    last = by_tag.groupBy(*keys, "com").agg(F.max_by(F.struct("state", "_own"), "path").alias("_p"))
-    return last.select(*keys, "com", "_p.state", "_p._own.baud", "_p._own.macro")
-
-
-def _setting(tag: str) -> Column:
-    """Value of the first such object directly below that says anything but ``?``."""
-    said = F.filter("inner", lambda o: (o["tag"] == tag) & (o["value"] != "?"))
-    return F.coalesce(F.get(said, 0)["value"], F.lit("?"))
+def config_ports(parsed: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
+    """Settings per port: ``com, state, baud, macro``."""
+    return parsed.select(*keys, F.inline("ports"))
 
 
 def config_summary(tags: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:

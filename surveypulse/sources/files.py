@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyarrow import fs
@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveypulse import SESSION_KEYS
-from surveypulse.functions.text import folder_name
+from surveypulse.functions.text import bad_header, folder_name
+from surveypulse.session import ship_package
 from surveypulse.operators.joins import join_sized
 from surveypulse.reference import per_row
 
@@ -24,6 +25,8 @@ TABLE_KINDS = ("MAG", "GGA", "SPC")
 
 _SCHEMES = {"s3a": "s3", "s3n": "s3"}
 _CHUNK = 1 << 16
+# Files a task of the header probe opens, about, and the most tasks.
+_FILES_EACH, _MOST_TASKS = 64, 10_000
 
 
 def as_list(value: str | Iterable[str]) -> list[str]:
@@ -33,13 +36,13 @@ def as_list(value: str | Iterable[str]) -> list[str]:
 def discover(spark: SparkSession, folders: str | list[str], levels: int = 1) -> DataFrame:
     """Sessions named by ``EVT<digits>.txt`` files, in file-name order.
 
-    ``folders`` are data folders or globs of them. Only the listing is used: the content
-    column of the source is never selected, so no file is opened. A file of no bytes is not
-    listed by Spark and so names no session.
+    ``folders`` are data folders or globs of them. Only the listing is used, no file is opened.
+    It is taken as a list of names, not as a scan, which would leave out files of no bytes.
     """
     paths = [f"{f.rstrip('/')}/EVT*.txt" for f in as_list(folders)]
     try:
-        listing = spark.read.format("binaryFile").load(paths).select("path")
+        names = spark.read.format("binaryFile").load(paths).inputFiles()
+        listing = spark.createDataFrame([(unquote(n),) for n in names], "path STRING")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(f"no EVT*.txt files found in {folders}") from error
@@ -80,24 +83,36 @@ def select_sessions(discovered: DataFrame, sessions: list[int] | None = None) ->
     return chosen.drop("_shared")
 
 
+def sessions_missing(discovered: DataFrame, sessions: list[int] | None = None) -> DataFrame:
+    """Session numbers that were asked for and that no event log names."""
+    spark = discovered.sparkSession
+    asked = spark.createDataFrame([(int(s),) for s in dict.fromkeys(sessions or [])], "session INT")
+    return asked.join(discovered.select("session").distinct(), "session", "left_anti")
+
+
 def inventory(sessions: DataFrame) -> DataFrame:
     """State and header line of every file a session should have.
 
-    One row per session and kind: ``OK``, ``EMPTY`` or ``MISSING``, with the first line of
-    MAG, GGA and SPC files. Each file is opened for its first line only, spread over tasks
-    by path, so a file of any size costs one short read; finding headers by a Spark scan
-    would read all bytes of all files.
+    One row per session and kind: ``OK``, ``EMPTY``, ``BAD_HEADER`` or ``MISSING``, with the first
+    line of MAG, GGA and SPC files. Each file is opened for its first line only, so a file of any
+    size costs one short read; finding headers by a Spark scan would read all bytes of all files.
+    Files are dealt to a stated number of tasks, which adaptive execution does not merge.
     """
+    ship_package(sessions.sparkSession)
     names = per_row(sessions, [{"kind": k, "_name": v} for k, v in FILE_NAMES.items()])
     path = F.concat_ws("/", "folder", F.format_string("%s%05d%s", F.substring("_name", 1, 3), "session",
                                                       F.substring("_name", 8, 4)))
-    wanted = names.select(*SESSION_KEYS, "kind", path.alias("path")).repartition("path")
+    wanted = names.select(*SESSION_KEYS, "kind", path.alias("path"))
+    tasks = min(_MOST_TASKS, max(1, -(-sessions.count() * len(FILE_NAMES) // _FILES_EACH)))
+    wanted = wanted.repartition(tasks, "path")
     schema = "dataset STRING, session INT, kind STRING, path STRING, state STRING, header STRING"
-    return wanted.mapInPandas(_probe, schema)
+    probed = wanted.mapInPandas(_probe, schema)
+    bad = (F.col("state") == "OK") & F.coalesce(bad_header(F.col("header")), F.lit(False))
+    return probed.withColumn("state", F.when(bad, "BAD_HEADER").otherwise(F.col("state")))
 
 
 def files_missing(files: DataFrame) -> DataFrame:
-    """Files that a session lacks, or has without content."""
+    """Files that a session lacks, has without content, or has with a header that gives no layout."""
     return files.where(F.col("state") != "OK").select(*SESSION_KEYS, "kind", "path", "state")
 
 

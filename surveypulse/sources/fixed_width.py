@@ -57,14 +57,6 @@ def layouts(headers: DataFrame, text_channels: Iterable[str] = TEXT_CHANNELS) ->
     )
 
 
-def check_layouts(laid_out: DataFrame) -> None:
-    """Raise when a header names the same channel twice: such a table has no reading."""
-    repeated = laid_out.where(F.size(F.array_distinct("channels")) < F.size("channels"))
-    found = repeated.select("header").limit(1).collect()
-    if found:
-        raise ValueError(f"header names a channel twice: {found[0].header}")
-
-
 def channels_present(laid_out: DataFrame, keys: Iterable[str] = SESSION_KEYS) -> DataFrame:
     """One row per channel a header names, in header order from 0."""
     return laid_out.select(*keys, F.posexplode("channels").alias("ordinal", "channel"))
@@ -73,11 +65,11 @@ def channels_present(laid_out: DataFrame, keys: Iterable[str] = SESSION_KEYS) ->
 def attach_layout(
     lines: DataFrame, laid_out: DataFrame, keys: Iterable[str] = SESSION_KEYS, spread: Iterable[str] = ("value",)
 ) -> DataFrame:
-    """Give each line the layout of its file.
+    """Give each line the layout of its file; lines of files without a layout leave.
 
-    Checks first how many different headers there are. Files of one kind normally share a
-    single one: it becomes a constant of the plan and no join is needed. Otherwise layouts
-    are joined by file, broadcast only while their number is small.
+    Files of one kind normally share a single header: it becomes a constant of the plan, and only
+    the keys are joined. Otherwise layouts are joined by file. Either table is broadcast only while
+    it is measured to be small.
     """
     keys = list(keys)
     different = laid_out.select("header", *_LAYOUT).distinct().limit(2).collect()
@@ -85,7 +77,7 @@ def attach_layout(
         only = different[0]
         constants = {c: F.lit(only[c]) for c in ("pattern", "number_cells")}
         constants["channels"] = F.array(*[F.lit(c) for c in only["channels"]])
-        return lines.withColumns(constants)
+        return join_sized(lines, laid_out.select(*keys), keys, "inner", spread).withColumns(constants)
     return join_sized(lines, laid_out.select(*keys, *_LAYOUT), keys, "inner", spread)
 
 

@@ -9,7 +9,7 @@ from surveypulse.functions.clock import tenths_of_day
 from surveypulse.functions.text import numeric, strip, text_value, whole_number
 from surveypulse.operators import compare, events, health, profile
 from surveypulse.operators.joins import join_sized
-from surveypulse.sources import config_xml, fixed_width, lines
+from surveypulse.sources import config_xml, files, fixed_width, lines
 
 # Cell text and the number a reader of the survey files gets from it.
 NUMBERS = {
@@ -101,27 +101,33 @@ def test_whole_number_channel_falls_out(spark):
 
 
 def test_wide_and_long_statistics_agree(spark):
-    names = [f"c{i}" for i in range(profile.WIDE_CHANNELS + 3)]
+    names = [f"c{i}" for i in range(15)]
     df = spark.range(50).select(F.col("id") % 3, *[F.when(F.col("id") % (i + 2) > 0, F.rand(i)).alias(n)
                                                    for i, n in enumerate(names)]).toDF("k", *names)
     long = {tuple(r[:2]): r[2:] for r in profile.channel_stats(df, ["k"], names).collect()}
     for part in (names[:8], names[8:]):
         for r in profile.channel_stats(df, ["k"], part).collect():
             assert long[tuple(r[:2])] == pytest.approx(r[2:])
+    # Over no rows there is a row per channel without keys, and none with keys, however many channels.
+    for some in (names[:1], names[:12], names[:13], names):
+        none = profile.channel_stats(df.limit(0), [], some)
+        assert rows(profile.classify(none), "channel", "class", "n") == sorted((n, "fully", 0) for n in some)
+        assert profile.channel_stats(df.limit(0), ["k"], some).count() == 0
 
 
 def test_sized_join_beyond_its_bound(spark):
     big, small = spark.range(100).withColumn("k", F.col("id") % 4), spark.range(3).toDF("k").withColumn("v", F.col("k") * 2)
-    expected = None
-    for bound, spread in ((100, []), (1, []), (1, ["id"])):
+    expected, before = None, spark.sparkContext._jsc.getPersistentRDDs().size()
+    for bound, spread in ((1000, []), (1, []), (1, ["id"])):
         for how in ("left", "inner"):
-            joined = join_sized(big, small, ["k"], how, spread, bound)
+            joined = join_sized(big, small, ["k"], how, spread, bound, 5_000_000)
             plan = joined._jdf.queryExecution().optimizedPlan().toString()
-            assert ("strategy=broadcast" in plan) == (bound == 100)
+            assert ("strategy=broadcast" in plan) == (bound == 1000)
             found = rows(joined.where("v IS NOT NULL"), "k", "id", "v")
             expected = expected or found
             assert found == expected and len(found) == 75
             assert joined.count() == (100 if how == "left" else 75)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before  # nothing stays cached
 
 
 def test_unknown_sensor_and_word(spark):
@@ -135,8 +141,8 @@ def test_unknown_sensor_and_word(spark):
 def test_tables_have_the_known_sizes(spark):
     sizes = {ref.sensor_ref: 8, ref.column_desc: 76, ref.thresholds: 14, ref.warn_meaning: 4, ref.sensor_channels: 21}
     assert all(table(spark).count() == n for table, n in sizes.items())
-    assert ref.kind_channels(spark, ref.ANALYSIS_CHANNELS).count() == 30
-    assert ref.kind_channels(spark, ref.COMPARE_CHANNELS).count() == 13
+    assert sum(map(len, ref.ANALYSIS_CHANNELS.values())) == 30
+    assert sum(map(len, ref.COMPARE_CHANNELS.values())) == 13
 
 
 def test_single_session_is_not_compared(spark):
@@ -168,11 +174,47 @@ def test_lines_with_a_separator_stay_whole(spark, tmp_path):
     assert [r.value for r in found.collect()] == ["\ufdd0 1  2", ' " 3\\', "\x00 4", "\x01\x00#"]
 
 
-def test_config_deeper_than_declared(spark):
-    text = "<R>" + "".join(f'<Object Tag="T{i}"><Value>{i}</Value>' for i in range(4)) + "</Object>" * 4 + "</R>"
-    df = spark.createDataFrame([(1, text), (2, '<R><Object Tag="A"><Value>1</Value></Object></R>')], "session INT, xml STRING")
-    for depth, deep in ((3, [(1,)]), (4, []), (6, [])):
-        objects = config_xml.parse_config(df, "xml", ["session"], depth)
-        assert rows(config_xml.too_deep(objects, ["session"], depth)) == deep
-        tags = rows(config_xml.config_tags(config_xml.all_objects(objects, ["session"], depth), ["session"]))
-        assert len(tags) == min(depth, 4) + 1
+def test_config_of_any_shape(spark):
+    deep = "".join(f'<Object Tag="T{i}"><Value>{i}</Value>' for i in range(40)) + "</Object>" * 40
+    texts = [
+        f"<R>{deep}</R>",
+        '<R><Object Tag="A"><Group><Object Tag="B"><Value>1</Value></Object></Group></Object></R>',
+        '<R><Object Tag="COM3STATE"><Item Tag="BAUD"><Value>9600</Value></Item></Object></R>',
+        '<Object Tag="ROOT"><Value> r </Value></Object>',
+        '<R><Object Tag="A"><Value>1</Value>', "no xml", "", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "session INT, xml STRING")
+    parsed = config_xml.parse_config(df, "xml", ["session"])
+    tags = rows(config_xml.config_tags(parsed, ["session"]))
+    assert [t for t in tags if t[0] == 0] == sorted((0, f"T{i}", str(i)) for i in range(40))
+    assert [t for t in tags if t[0] > 0] == [(1, "B", "1"), (3, "ROOT", "r")]
+    assert rows(config_xml.config_ports(parsed, ["session"])) == [(2, "COM3", None, "9600", "?")]
+    assert rows(config_xml.broken_configs(parsed, ["session"]), "session") == [(4,), (5,), (6,), (7,)]
+
+
+def test_percent_is_rounded_half_to_even(spark):
+    df = spark.createDataFrame([(1, 16), (3, 16), (1, 3), (2, 3), (5, 5), (1, 2000), (3, 2000)], "part BIGINT, n BIGINT")
+    found = [r[0] for r in df.select(health.tenths_of_percent(F.col("part"), F.col("n"))).collect()]
+    assert found == ["6.2", "18.8", "33.3", "66.7", "100.0", "0.0", "0.2"]
+
+
+def test_names_beyond_ascii(spark):
+    facts = events.facts(log(spark, "10:00:00.0: COM3: Macro Größe OK", "10:00:00.0: M1 latches port COM3 runs macro Größe"), ["session"])
+    assert rows(events.ports(facts, ["session"]), "sensor") == [("Größe",)]
+    assert [r.sensor for r in events.mux_routes(facts, ["session"]).collect()] == ["Größe"]
+
+
+def test_one_layout_and_two_keep_the_same_sessions(spark):
+    """Lines of a file without a layout leave, however many different headers there are."""
+    body = spark.createDataFrame([(1, "1"), (2, "2"), (9, "9")], "k INT, value STRING")
+    for second in ("A", "B"):
+        laid_out = fixed_width.layouts(spark.createDataFrame([(1, "A"), (2, second)], "k INT, header STRING"))
+        assert rows(fixed_width.attach_layout(body, laid_out, ["k"]), "k") == [(1,), (2,)]
+
+
+def test_header_probe_is_spread(spark, tmp_path):
+    sessions = spark.range(1, 2001).select(F.lit("d").alias("dataset"), F.col("id").cast("int").alias("session"), F.lit(str(tmp_path)).alias("folder"))
+    probed = files.inventory(sessions)
+    assert probed.count() == 10_000
+    tasks = [r[0] for r in probed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) > 100

@@ -74,7 +74,7 @@ def test_rank_and_first(spark, chunk_rows):
 
 def test_gaps_with_many_sessions(spark, monkeypatch):
     """The same when the table of live channels is too long to broadcast."""
-    monkeypatch.setattr(series.join_sized, "__defaults__", ("left", (), 0))
+    monkeypatch.setattr(series.join_sized, "__defaults__", ("left", (), 0, None))
     data = table(6)
     df = spark.createDataFrame(data, SCHEMA).withColumn("chunk", series.chunk_of("i", 20))
     found = series.gap_intervals(df, ["k"], "chunk", "i", "t", SETS)

@@ -5,7 +5,7 @@ from conftest import rows
 
 from surveypulse.plans.report import write_report
 from surveypulse.plans.status import StatusRun
-from surveypulse.sources import files, fixed_width, lines
+from surveypulse.sources import files, lines
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +32,24 @@ def test_sessions_and_selection(spark, survey, run):
         files.discover(spark, survey + "/none")
 
 
+def test_no_session_vanishes(spark, tmp_path):
+    """An empty log, numbers asked for that are not there, and headers that give no layout."""
+    for name, text in {
+        "EVT00001.txt": "Date:20260324\n", "EVT00002.txt": "", "MAG00001.txt": " A  B\n 1  2\n", "MAG00002.txt": " A  A\n 1  2\n",
+        "GGA00001.txt": "   \n", "GGA00002.txt": "", "MAG00009.txt": " A  B\n 7  8\n", "Cfg00001.xml": "<R><Object",
+    }.items():
+        (tmp_path / name).write_text(text)
+    run = StatusRun(spark, str(tmp_path), [1, 2, 77])
+    assert rows(run.sessions, "session") == [(1,), (2,)]
+    assert rows(run.sessions_missing) == [(77,)]
+    assert rows(run.files_missing.where("kind <> 'SPC'"), "session", "kind", "state") == [
+        (1, "GGA", "BAD_HEADER"), (2, "Cfg", "MISSING"), (2, "EVT", "EMPTY"), (2, "GGA", "EMPTY"), (2, "MAG", "BAD_HEADER")]
+    assert rows(run.session_summary, "session", "mag_rows", "gga_rows", "spc_rows") == [(1, 1, None, None), (2, None, 0, None)]
+    assert rows(run.series("MAG", ["A"]), "session", "A") == [(1, 1.0)]  # session 9 has no log
+    assert rows(run.config_broken, "session") == [(1,)]
+    run.close()
+
+
 def test_two_folders_of_one_name(spark, tmp_path):
     for parent in ("a", "b"):
         folder = tmp_path / parent / "same"
@@ -200,7 +218,7 @@ def test_config(run):
     ]
     summary = run.config_summary.where("session = 1").collect()[0]
     assert (summary.compensation, summary.nav_file, summary.clock_port, summary.web_host) == ("CMP_0043", "", "2", None)
-    assert run.config_too_deep.count() == 0
+    assert run.config_broken.count() == 0
 
 
 def test_report_is_written(spark, run, tmp_path):
@@ -222,9 +240,3 @@ def test_small_splits_give_the_same(spark, survey, run):
         again.close()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-
-
-def test_repeated_header_name(spark):
-    laid_out = fixed_width.layouts(spark.createDataFrame([("a", 1, " A  B A")], "dataset STRING, session INT, header STRING"))
-    with pytest.raises(ValueError, match="twice"):
-        fixed_width.check_layouts(laid_out)
