@@ -9,14 +9,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import zipfile
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+from surveypulse.session import ship_package as ship  # noqa: F401  used by the operators
+
 #: The same set of characters for Java's and Python's regular expressions.
 SPACES = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,23 +38,6 @@ def tokenizer_file(name: str, folder: str | None = None) -> str:
         return f.read()
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the workers this package, once per application, for sessions that only the driver's path knows."""
-    context: SparkContext = spark.sparkContext
-    if getattr(context, "_surveypulse_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    out = os.path.join(tempfile.mkdtemp(prefix="surveypulse-"), "surveypulse.zip")
-    with zipfile.ZipFile(out, "w") as z:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    z.write(path, os.path.join("surveypulse", os.path.relpath(path, root)))
-    context.addPyFile(out)
-    context._surveypulse_shipped = True
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share; one of our own only where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
