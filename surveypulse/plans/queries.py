@@ -85,6 +85,20 @@ def q_sessions(spark, sf_dir):
     return files.named_sessions(listing).groupBy("dataset", "session").agg(F.min("folder")).select("dataset", "session")
 
 
+_ASKED = range(0, 700, 7)
+
+
+@_query(f"""WITH asked(session) AS (SELECT CAST(range AS INT) FROM range({_ASKED.start}, {_ASKED.stop}, {_ASKED.step}))
+SELECT DISTINCT event_type AS dataset, session FROM asked LEFT JOIN events ON user_id = session""")
+def q_sessions_asked(spark, sf_dir):
+    """Session numbers asked for, with their data sets; a number that no file names is a row all the same."""
+    path = F.format_string("file:/survey/%s/EVT%05d.txt", "event_type", "user_id")
+    found = files.named_sessions(_table(spark, sf_dir, "events").select(path.alias("path")))
+    chosen = files.select_sessions(found, list(_ASKED)).select("dataset", "session")
+    lost = files.sessions_missing(found, list(_ASKED))
+    return chosen.unionByName(lost.select(F.lit(None).cast("string").alias("dataset"), "session"))
+
+
 @_query(f"""WITH {_SERIES} SELECT event_id, round(sec, 3) AS sec FROM series""")
 def q_time_of_day(spark, sf_dir):
     """HHMMSS.sss as seconds of the day."""
@@ -105,15 +119,17 @@ def q_elapsed(spark, sf_dir):
 
 @_query(f"""WITH {_SERIES}, counted AS (
   SELECT user_id, count(*) AS n, count(*) - count(reading) AS a, count(*) - count(second) AS b FROM series GROUP BY 1),
-long AS (SELECT user_id, 'reading' AS channel, n, a AS n_null FROM counted
-         UNION ALL SELECT user_id, 'second', n, b FROM counted)
+long AS (SELECT user_id, 'reading' AS channel, n, CASE WHEN user_id % 3 = 0 THEN n ELSE a END AS n_null FROM counted
+         UNION ALL SELECT user_id, 'second', n, b FROM counted UNION ALL SELECT user_id, 'sample', n, 0 FROM counted)
 SELECT user_id, channel, n, n_null, round(100.0 * n_null / n, 8) AS pct_null,
        CASE WHEN n_null = n THEN 'fully' WHEN n_null > 0 THEN 'partial' ELSE 'clean' END AS class
 FROM long""")
 def q_missingness(spark, sf_dir):
     """Missing rows, percent and class per channel; the skipped and the whole-number channel leave."""
     skip = spark.createDataFrame([("value",)], "channel STRING")
-    stats = profile.channel_stats(_series(spark, sf_dir), ["user_id"], ["reading", "second", "value", "event_id"])
+    # Each third session has no reading at all; the sample time is always there.
+    rows = _series(spark, sf_dir).withColumn("reading", F.when(F.col("user_id") % 3 > 0, F.col("reading")))
+    stats = profile.channel_stats(rows, ["user_id"], ["reading", "second", "sample", "value", "event_id"])
     return profile.classify(stats, skip).select("user_id", "channel", "n", "n_null", _round("pct_null"), "class")
 
 
@@ -175,7 +191,8 @@ def _gps(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     rows = _table(spark, sf_dir, "events").select(
         "user_id",
-        F.when(kind.isin("click", "view"), F.col("value") / 51).alias("dHdop"),
+        # Each fifth session has no dilution of precision.
+        F.when(kind.isin("click", "view") & (F.col("user_id") % 5 > 0), F.col("value") / 51).alias("dHdop"),
         F.when(kind != "error", F.col("value")).alias("dSNo"),
         F.when(kind == "error", F.col("value")).alias("dAge"),
         F.col("value").alias("Xdgps"),
@@ -186,7 +203,7 @@ def _gps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _GPS = """
 gps AS (SELECT user_id,
-  CASE WHEN event_type IN ('click', 'view') THEN value / 51 END AS dHdop,
+  CASE WHEN event_type IN ('click', 'view') AND user_id % 5 > 0 THEN value / 51 END AS dHdop,
   CASE WHEN event_type <> 'error' THEN value END AS dSNo,
   CASE WHEN event_type = 'error' THEN value END AS dAge,
   value AS Xdgps, CASE WHEN event_type = 'signup' THEN value END AS Ydgps FROM events),
@@ -388,7 +405,9 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format("ts", "yyyyMMdd").cast("int").alias("day")
     body = rows.select(day, series.chunk_of("event_id").alias("block"), F.col("event_id").alias("mid"),
                        F.concat(F.date_format("ts", "HH:mm:ss.S"), F.lit(": "), message).alias("value"))
-    opened = F.concat(F.lit("Log file opened at Date:"), F.col("day").cast("string"), F.lit(" Time:00:00"))
+    # On odd days the header has a time that counts, midnight.
+    clock = F.when(F.col("day") % 2 == 1, " Time:0000").otherwise(" Time:00:00")
+    opened = F.concat(F.lit("Log file opened at Date:"), F.col("day").cast("string"), clock)
     first = rows.select(day).distinct().select(
         "day", F.lit(0).cast("bigint").alias("block"), F.lit(-1).cast("bigint").alias("mid"), opened.alias("value")
     )
@@ -464,10 +483,11 @@ def q_event_extract(spark, sf_dir):
     return ordered.select("day", "warning", "n", F.col("first_pos.mid").alias("first_event"), "meaning")
 
 
-@_query(f"""WITH {_LOG} SELECT day, min(tick) AS start_ts, max(tick) AS end_ts,
-  round(epoch(max(tick)) - epoch(min(tick)), 1) AS duration_s FROM log GROUP BY 1""")
+@_query(f"""WITH {_LOG}, spans AS (
+  SELECT day, CASE WHEN day % 2 = 1 THEN date_trunc('day', min(tick)) ELSE min(tick) END AS start_ts, max(tick) AS end_ts FROM log GROUP BY 1)
+SELECT *, round(epoch(end_ts) - epoch(start_ts), 1) AS duration_s FROM spans""")
 def q_session_window(spark, sf_dir):
-    """Start, end and duration from the stamps of a log."""
+    """Start, end and duration of a log from its stamps, and its header's time where that counts."""
     found = events.session_window(events.log_fields(_log(spark, sf_dir)), ["day"])
     return found.select("day", "start_ts", "end_ts", _round("duration_s", 1))
 
@@ -623,7 +643,8 @@ def q_compare(spark, sf_dir):
     return compare.side_by_side(_sales(spark, sf_dir), ["l_linestatus", "channel"], "l_returnflag", ["A", "N", "R"], values)
 
 
-@_query(f"""WITH {_LOG} SELECT day, min(tick) AS start_ts, round(epoch(max(tick)) - epoch(min(tick)), 1) AS duration_s,
+@_query(f"""WITH {_LOG} SELECT day, CASE WHEN day % 2 = 1 THEN date_trunc('day', min(tick)) ELSE min(tick) END AS start_ts,
+  round(epoch(max(tick)) - epoch(CASE WHEN day % 2 = 1 THEN date_trunc('day', min(tick)) ELSE min(tick) END), 1) AS duration_s,
   count(*) AS n_rows, count(*) FILTER (event_type = 'error' AND value < 50) AS n_critical,
   count(*) FILTER (event_type = 'purchase') AS n_warnings,
   count(*) FILTER (event_type = 'purchase' AND warning <> 'M4 TimeO') AS n_mux_timeouts FROM log GROUP BY 1""")

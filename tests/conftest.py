@@ -67,11 +67,44 @@ def spark():
     return local_session(8)
 
 
+PORT_NAMES = {"COM3": "GEMK1", "COM4": "GEMK2", "COM5": "GDRAlt", "COM6": "GD485", "COM7": "XSENS", "COM8": "GDGPS",
+              "COM9": "GDSpec", "COM10": "GDLas"}
+ROUTES = ["COM7", "COM5", "COM10", "COM4", "COM3", "COM6"]
+
+
+def event_log(number, start, end, alarm, rates, warned, total):
+    """An event log with the counts and traps of a real one: warnings in a fixed order, a second stamp
+    inside a line, a warning without its closing bar, a name that only begins like a known one."""
+    at = f"{start}: "
+    out = [f"Log D:\\Events\\EVT0000{number}.txt opened at Date:20260324 Time:{start[:5]}", at + "starting"]
+    out += [f"{at}   {p}: Macro {s} OK - 115200/None/8/One-None//" for p, s in PORT_NAMES.items()]
+    out += [f"{at}Character Rate on {p} is {r} chars/second" for p, r in zip(PORT_NAMES, rates)]
+    out += [f"{at}   M1 latches port {p} runs macro {PORT_NAMES[p]}" for p in ROUTES]
+    out += [f"{at}   M2 latches port COM9 runs macro GDSpec", f"{at}   M3 latches port COM8 runs macro GDGPS"]
+    out += [f"{at}File: D:\\Data\\{k}0000{number}.txt opened" for k in ("GGA", "MAG", "SPC")]
+    out += [f"{alarm}: Mux Timeout > 90% of clock!!!!!!!"]
+    common, third, odd = warned
+    for i in range(common):
+        out += [f"{alarm}: Health Warning: {w}|" for w in ("M1 TimeO", "M2 TimeO", "Nv WayP")]
+        if i < third:
+            out.append(f"{alarm}: Health Warning: M3 TimeO| shown at {end}: again")
+    out += [f"{alarm}: Health Warning: M3 TimeO_COM8|"] * odd
+    out += [f"{alarm}: Health Warning: Nv WayP without its bar"]
+    out += [f"{alarm}: idle"] * (total - len(out) - 1)
+    return "\n".join([*out, f"{end}: closed"]) + "\n"
+
+
 @pytest.fixture(scope="session")
-def shipped():
-    if not REAL_LOGS:
-        pytest.skip("no real event logs here")
-    return os.path.dirname(REAL_LOGS[0])
+def built_logs(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("logs") / "Built logs 006 - 007"
+    write(folder, "EVT00006.txt", event_log(6, "14:34:33.6", "14:54:36.9", "14:34:54.3", [130.8, 131.3, 89.4, "0.0", 599.3, 326.2, "0.0", "0.0"], (211, 3, 1), 786))
+    write(folder, "EVT00007.txt", event_log(7, "15:01:47.0", "15:17:01.7", "15:02:08.0", [131.4, 127.2, 86.8, "0.0", 593.7, 350.3, "0.0", "0.0"], (24, 8, 0), 236))
+    return str(folder)
+
+
+@pytest.fixture(scope="session", params=["built", *(["real"] if REAL_LOGS else [])])
+def shipped(request, built_logs):
+    return built_logs if request.param == "built" else os.path.dirname(REAL_LOGS[0])
 
 
 def write(folder, name, text):
