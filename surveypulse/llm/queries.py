@@ -7,6 +7,7 @@ from surveypulse.llm.bpe import bpe_encode
 from surveypulse.llm.chat import conversations
 from surveypulse.llm.common import table, tokenizer_file
 from surveypulse.llm.minhash import minhash_dedup
+from surveypulse.llm.oracle import near_sql, substring_sql
 from surveypulse.llm.packing import best_fit_packing
 from surveypulse.llm.pii import personal_data
 from surveypulse.llm.quality import oracle as quality_sql
@@ -58,4 +59,8 @@ def op10_lm_scoring(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_packing, op4_minhash, op5_bpe, op6_suffix_dedup, op7_chat, op8_ann, op9_pii, op10_lm_scoring)}
-ORACLE: dict[str, str] = {"op2_quality_rules": quality_sql()}
+ORACLE: dict[str, str] = {
+    "op1_substring_dedup": substring_sql(),
+    "op2_quality_rules": quality_sql(),
+    "op4_minhash": near_sql(),
+}
