@@ -18,7 +18,7 @@ from surveypulse.llm.common import written
 def large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def small_star(edges: DataFrame) -> DataFrame:
@@ -28,17 +28,21 @@ def small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def settled(edges: DataFrame) -> bool:
+    """Whether ``edges`` (u > v) are stars: no u has two edges, and no v is a u."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    counted = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counted.where("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
 def components(edges: DataFrame, most_steps: int = 50) -> DataFrame:
     """(node, component) for every node of an edge; the component is its smallest node."""
     now = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
-    mark = None
     for _ in range(most_steps):
+        if settled(now):
+            # Each node that is not the smallest has one edge, to the smallest.
+            tops = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(tops)
         now = written(small_star(large_star(now)))
-        # When nothing moves, the sums stay; a move makes some v smaller or joins two edges.
-        last, mark = mark, now.agg(F.count("*"), F.sum("v"), F.sum(F.hash("u", "v").cast("long"))).first()
-        if mark == last:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {most_steps} steps")
-    # Each node that is not the smallest has one edge left, to the smallest.
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    raise RuntimeError(f"components did not settle in {most_steps} steps")

@@ -35,7 +35,7 @@ from surveypulse.llm.common import ship, written
 from surveypulse.llm.components import components
 
 SHINGLE, SIMILAR = 5, 80
-BANDS, ROWS, MARGIN, ROUNDS = 30, 5, 0.13, 3
+BANDS, ROWS, MARGIN, ROUNDS = 30, 5, 0.13, 2
 PRIME = (1 << 61) - 1
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Of one hub, so many partners are compared in a task's group.

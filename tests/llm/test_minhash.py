@@ -73,7 +73,7 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("rounds", [1, 3])
+@pytest.mark.parametrize("rounds", [1, 2, 3])
 def test_near_copies(spark, monkeypatch, rounds):
     monkeypatch.setattr(minhash, "ROUNDS", rounds)
     rows = near_rows()
