@@ -7,6 +7,7 @@ Words are maximal runs of characters other than space and U+0009..U+000D. On UTF
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,7 +43,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share; one of our own only where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = getattr(spark.sparkContext, "_surveypulse_folder", None) or tempfile.mkdtemp(prefix="surveypulse-")
         spark.sparkContext._surveypulse_folder = folder
