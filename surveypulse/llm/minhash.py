@@ -199,8 +199,12 @@ def near_components(docs: DataFrame, size: int, similar: int) -> tuple[DataFrame
         named = left.join(groups, left["id"] == groups["node"], "left").select("bucket", "id", F.coalesce("component", "id").alias("part"), *facts)
         left = written(open_buckets(named))
         if turn == 0:
-            for _ in range(2):
+            rows_left, before = left.count(), 0
+            while rows_left and rows_left < 0.95 * before or not before:
+                # Each pass leaves fewer texts to share shingles with; it goes on while that helps.
+                before = max(1, rows_left)
                 left = partnered(left, texts, size, similar)
+                rows_left = left.count()
         # A bucket is done if those that were not its hub lie in one component.
         rest = written(open_buckets(left.join(done, ["bucket", "id"], "left_anti")))
         if rest.isEmpty():
