@@ -8,11 +8,12 @@ has the passage in its own text, if it came earlier. A message replies to the or
 nested linked passage, of several the latest. Messages linked by replies form a thread, named by the
 turn of its first message; messages without links form the conversation's main thread. Threads are
 written in order of turns, so each reply follows what it quotes, in segments of ``TURNS`` turn
-numbers, each message between role marks.
+numbers, each message between role marks. A segment of more than ``MOST`` different messages is cut
+into parts, consecutive stretches of ``MOST`` messages in the order of turn, role and text.
 
 Nothing is grouped by conversation alone: passages are joined by conversation and hash, originals
-are one row each, replies are followed by joining pointers to pointers, and a segment is bounded, a
-repeated turn number with very many different messages being split by hash.
+are one row each, replies are followed by joining pointers to pointers, and a part is bounded; ranks
+in a large segment come from counts of ranges of its messages.
 
 Edge cases: null text is an empty message; null roles are written "unknown"; null turns form a
 segment of their own; messages of a null conversation have no links. The same message (all four
@@ -21,11 +22,12 @@ values) on several rows counts once.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveypulse.llm.common import ship, written
@@ -128,14 +130,30 @@ def linked(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
 def conversations(messages: DataFrame, turns: int = TURNS, most: int = MOST, **columns: str) -> DataFrame:
     """conv_id, thread_turn, segment, part, n_messages, n_links, text: a row per segment of a thread."""
     rows = linked(messages, **columns).withColumn("segment", F.floor(F.col("turn") / turns))
-    key = ["conv_id", "thread_turn", "segment"]
-    large = rows.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > most)
-    same = [F.col(f"rows.{c}").eqNullSafe(F.col(f"large.{c}")) for c in key]
-    parts = F.coalesce(F.ceil(F.col("n") / most), F.lit(1))
-    split = rows.alias("rows").join(large.alias("large"), same[0] & same[1] & same[2], "left").select(
-        "rows.*", F.pmod(F.xxhash64("turn", "role", "body"), parts).cast("int").alias("part"))
-    one = F.struct("turn", "role", "body", "parent_turn")
+    key, order = ["conv_id", "thread_turn", "segment"], ["turn", "role", "body", "parent_turn"]
+    rows = written(rows.select(*key, *order).dropDuplicates())
+    split = parted(rows, key, order, most)
     text = F.concat_ws("\n", F.transform("all", lambda m: F.concat(F.lit("<|"), m["role"], F.lit("|>\n"), m["body"], F.lit("\n<|end|>"))))
-    return split.groupBy(*key, "part").agg(F.sort_array(F.collect_set(one)).alias("all")).select(
+    return split.groupBy(*key, "part").agg(F.sort_array(F.collect_list(F.struct(*order))).alias("all")).select(
         *key, "part", F.size("all").cast("long").alias("n_messages"),
         F.size(F.filter("all", lambda m: m["parent_turn"].isNotNull())).cast("long").alias("n_links"), text.alias("text"))
+
+
+def parted(rows: DataFrame, key: list[str], order: list[str], most: int) -> DataFrame:
+    """Different ``rows`` with ``part``: 0, and in groups of more than ``most`` the rank in ``order`` by
+    ``most``. Ranges of the whole order are counted, so a group is ranked in as many tasks as it needs."""
+    def by(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+        on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys]
+        return left.alias("l").join(right.alias("r"), functools.reduce(lambda a, b: a & b, on), how)
+
+    large = written(rows.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*key))
+    if large.isEmpty():
+        return rows.withColumn("part", F.lit(0))
+    ranges = by(rows, large, key, "left_semi").repartitionByRange(*key, *order).withColumn("slice", F.spark_partition_id())
+    ranges = written(ranges)
+    earlier = Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranges.groupBy(*key, "slice").agg(F.count("*").alias("n"))
+    counts = counts.select(*key, "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    ranked = ranges.withColumn("at", F.row_number().over(Window.partitionBy(*key, "slice").orderBy(*order)) - 1)
+    placed = by(ranked, counts, [*key, "slice"], "inner").select("l.*", F.floor((F.col("offset") + F.col("at")) / most).cast("int").alias("part"))
+    return by(rows, large, key, "left_anti").withColumn("part", F.lit(0)).unionByName(placed.drop("slice", "at"))

@@ -42,3 +42,16 @@ def test_large_segment_and_empty(spark):
 def test_clashing_columns(spark):
     df = frame(spark, [(1, 0, "user", "a"), (1, 1, "user", "> a\nb")]).selectExpr("*", "1 AS body", "2 AS top", "3 AS units")
     assert {r.turn: r.parent_turn for r in linked(df).collect()} == {0: None, 1: 0}
+
+
+def test_parts_are_consecutive_and_copies_count_once(spark):
+    """Repeated turn numbers, and every row five times; parts put together are the whole in order."""
+    rows = [(c, t, "user", f"m{t:02d}.{k}") for c in (1, None) for t in range(30) for k in range(1 + 20 * (t == 7))]
+    out = conversations(frame(spark, rows * 5), most=8).collect()
+    for c in (1, None):
+        parts = sorted((r for r in out if r.conv_id == c), key=lambda r: r.part)
+        assert [r.n_messages for r in parts] == [8] * 6 + [2] and [r.part for r in parts] == list(range(7))
+        bodies = [x for r in parts for x in r.text.split("\n") if x.startswith("m")]
+        assert bodies == sorted(b for i, _, _, b in rows if i == c)
+    whole = conversations(frame(spark, [(1, t, "user", f"m{t}") for t in range(64)] * 5)).collect()
+    assert [(r.part, r.n_messages) for r in whole] == [(0, 64)]
