@@ -31,8 +31,8 @@ def counted(docs: DataFrame) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality_rules(docs, keep=tuple(docs.columns)).where("_q.kept").select(*docs.columns)
+    """Documents that the quality rules keep; those of small groups are judged too."""
+    return quality_rules(docs, keep=tuple(docs.columns), pooled=True).where("_q.kept").select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,8 +14,9 @@ each statistic (``SLACK``), since most are zero in most documents; it also says
 may lie off in a group where it never varies.
 
 Edge cases: null or blank text has zero words and fails. Null language or source count as ''. Groups
-of fewer than ``LEAST`` documents that pass the base rules get no outlier verdict. Very long lines
-and texts are treated whole. Repeated rows count each time. Other columns pass through.
+of fewer than ``LEAST`` documents that pass the base rules get no outlier verdict in the query, as its
+SQL says; the pipeline judges them by their language's estimate, of languages as small by that of all
+documents. Very long lines and texts are treated whole. Repeated rows count each time. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -185,15 +186,18 @@ def estimated(spark, rows: DataFrame) -> DataFrame:
     return s
 
 
-def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: tuple[str, ...] = ("doc_id",), pooled: bool = False) -> DataFrame:
     """The columns ``keep`` of ``docs`` with n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed and kept in a struct ``_q``."""
+    n_repeat_words, base_failed and kept in a struct ``_q``. With ``pooled``, documents of groups too
+    small for a verdict get that of their language, or else of all documents."""
     spark = docs.sparkSession
     group = F.struct(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"))))
     rows = measured(docs, text_col).select(*keep, group.alias("_g"), "_q")
     rows = written(rows)
     flat = rows.select("_g.*", "_q.*")
     s = estimated(spark, flat)
+    if pooled:
+        s = filled(spark, flat, s)
     mine = rows.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)), "_g.*", "_q.*", *(F.expr(VECTOR[i]).alias(f"x{i}") for i in P))
     mine = mine.where("n_words >= 0")
     out = spark.sql(distances().format(f="{f}", s="{s}", how="LEFT "), f=mine, s=s)
@@ -204,6 +208,22 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     return out.select(*(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), verdict.alias("_q"))
 
 
+def filled(spark, rows: DataFrame, s: DataFrame) -> DataFrame:
+    """The estimates ``s``, those of too small groups replaced by their language's, of too small
+    languages by the one of all ``rows``, which counts whatever its size."""
+    judged = F.col("size") >= SHARE * LEAST
+    small = written(s.where(~judged).select("lang", "source"))
+    if small.isEmpty():
+        return s
+    nothing = F.lit("")
+    langs = written(estimated(spark, rows.withColumn("source", nothing)).where(judged).drop("source"))
+    whole = estimated(spark, rows.withColumn("lang", nothing).withColumn("source", nothing)).drop("lang", "source")
+    whole = whole.withColumn("size", F.greatest("size", F.lit(LEAST).cast("long")))
+    by_lang = small.join(F.broadcast(langs) if langs.count() <= GROUPS_SENT else langs, "lang")
+    rest = small.join(langs.select("lang"), "lang", "left_anti").crossJoin(F.broadcast(whole))  # one row
+    return sized(written(s.where(judged).unionByName(by_lang).unionByName(rest)))
+
+
 def oracle() -> str:
     """The whole operator for the checking engine, its counts taken its own way."""
     steps = {

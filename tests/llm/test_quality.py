@@ -5,6 +5,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 
+from corpus_pipeline import keep_quality
 from surveypulse.llm.quality import CUT, FACTOR, LEAST, SHARE, SLACK, STEPS, measured, oracle, quality_rules
 
 
@@ -60,3 +61,22 @@ def test_passes_columns_and_empty(stored, nothing, nulls):
     assert as_rows(got) == as_rows(stored)
     assert quality_rules(nothing).count() == 0
     assert [(r.n_words, r.base_failed, r.kept) for r in quality_rules(nulls).select("_q.*").collect()] == [(0, True, False)] * 3
+
+
+def test_small_groups_are_judged_by_pooled_estimates(spark):
+    """Sources of three documents each: the odd ones go by their language's estimate, and in languages
+    as small by that of all; groups that are large enough keep their own verdicts."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(150):
+        odd = i % 15 == 4
+        words = [("w" * (3 + int(rng.integers(0, 4)))) + chr(97 + j % 26) + chr(97 + j // 26) + ("###" if odd else "") for j in range(60 + int(rng.integers(0, 60)))]
+        lang, source = ("en", f"s{i // 3}") if i < 60 else ("de", "s") if i < 120 else (f"l{i // 3}", "s")
+        rows.append((i, " ".join(words), lang, source))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = lambda **x: {r.doc_id for r in quality_rules(docs, **x).where("_q.kept").collect()}
+    alone, pooled = kept(), kept(pooled=True)
+    odd = {i for i in range(150) if i % 15 == 4}
+    assert {i for i in odd if i < 60 or i >= 120} <= alone and not odd & pooled
+    assert pooled == set(range(150)) - odd
+    assert {r.doc_id for r in keep_quality(spark, docs, "").collect()} == pooled
