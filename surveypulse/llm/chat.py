@@ -5,7 +5,8 @@ before the lines). A passage is a paragraph of one level, and a run of paragraph
 that introduces a quote ("... wrote:") goes with it. Passages are normalised (lower case, white space
 as one space) and hashed. A quoted passage's original is the first message of the conversation that
 has the passage in its own text, if it came earlier. A message replies to the original of its least
-nested linked passage, of several the latest. Messages linked by replies form a thread, named by the
+nested linked passage, of several the latest. Linked passages are taken out of the message, with the
+line that introduces them; a passage without an original stays where it is, marks included. Messages linked by replies form a thread, named by the
 turn of its first message; messages without links form the conversation's main thread. Threads are
 written in order of turns, so each reply follows what it quotes, in segments of ``TURNS`` turn
 numbers, each message between role marks. A segment of more than ``MOST`` different messages is cut
@@ -45,52 +46,66 @@ def digest(text: str) -> bytes:
     return hashlib.blake2b(normalised(text).encode(), digest_size=16).digest()
 
 
-def parse(text: str | None) -> tuple[str, list[tuple[int, bytes]]]:
-    """The message's own text, and (level, hash) of all its passages, level 0 for its own."""
+def runs(text: str | None) -> tuple[list[tuple[int, str, str]], list[bool], list[tuple[int, list[list[int]]]]]:
+    """Lines as (level, content, whole), which of them stay when no quote is introduced, and runs of
+    paragraphs of one level, each paragraph as the numbers of its lines."""
     lines = []
     for line in (text or "").split("\n"):
         m = MARK.match(line)
-        lines.append((m[0].count(">"), line[m.end() :]) if m else (0, line))
-    keep = [not (k + 1 < len(lines) and lines[k + 1][0] > level and INTRODUCES.match(line)) for k, (level, line) in enumerate(lines)]
-    found: dict[tuple[int, bytes], None] = {}
-    run: list[str] = []  # paragraphs of one level in a row
-    para: list[str] = []
-
-    def close_para():
-        if para:
-            run.append("\n".join(para))
-            para.clear()
-
-    def close_run(level):
-        close_para()
-        for p in run:
-            found[(level, digest(p))] = None
-        if len(run) > 1:
-            found[(level, digest("\n".join(run)))] = None
-        run.clear()
-
-    own, last = [], 0
-    for (level, line), stays in zip(lines, keep, strict=True):
-        if not stays:
+        lines.append((m[0].count(">"), line[m.end() :], line) if m else (0, line, line))
+    keep = [not (k + 1 < len(lines) and lines[k + 1][0] > level and INTRODUCES.match(line)) for k, (level, line, _) in enumerate(lines)]
+    found: list[tuple[int, list[list[int]]]] = []
+    last, after_blank = None, True
+    for k, (level, line, _) in enumerate(lines):
+        if not keep[k]:
             continue
         if level != last:
-            close_run(last)
-            last = level
-        if level == 0:
-            own.append(line)
-        if line.strip():
-            para.append(line)
-        else:
-            close_para()
-    close_run(last)
-    body = "\n".join(own).strip("\n")
-    if any(level for level, _ in lines):
+            found.append((level, []))
+            last, after_blank = level, True
+        if not line.strip():
+            after_blank = True
+            continue
+        if after_blank:
+            found[-1][1].append([])
+        found[-1][1][-1].append(k)
+        after_blank = False
+    return lines, keep, found
+
+
+def parse(text: str | None) -> tuple[str, list[tuple[int, bytes]]]:
+    """The message's own text, and (level, hash) of all its passages, level 0 for its own."""
+    lines, keep, parts = runs(text)
+    found: dict[tuple[int, bytes], None] = {}
+    for level, paras in parts:
+        for p in [*paras, *([sum(paras, [])] if len(paras) > 1 else [])]:
+            found[(level, digest("\n".join(lines[k][1] for k in p)))] = None
+    body = "\n".join(line for (level, line, _), stays in zip(lines, keep, strict=True) if stays and level == 0).strip("\n")
+    if any(level for level, _, _ in lines):
         body = re.sub(r"\n{3,}", "\n\n", body)
         if body.strip():
             found[(0, digest(body))] = None
     return body, list(found)
 
 
+def unquoted(text: str | None, originals: set[bytes]) -> str:
+    """The text without the quoted passages whose hash is in ``originals`` and their introductions."""
+    lines, keep, parts = runs(text)
+    gone: set[int] = set()
+    for level, paras in parts:
+        if level:
+            whole = sum(paras, [])
+            hashed = lambda p: digest("\n".join(lines[k][1] for k in p))
+            gone.update(whole if len(paras) > 1 and hashed(whole) in originals else [k for p in paras if hashed(p) in originals for k in p])
+    for k, (level, line, _) in enumerate(lines):  # an empty quoted line goes with the one before
+        if level and not line.strip() and k - 1 in gone:
+            gone.add(k)
+    for k in range(len(lines) - 2, -1, -1):
+        if not keep[k] and k + 1 in gone:
+            gone.add(k)
+    body = "\n".join(whole for k, (_, _, whole) in enumerate(lines) if k not in gone).strip("\n")
+    return re.sub(r"\n{3,}", "\n\n", body) if gone else body
+
+
 def linked(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """conv_id, turn, role, body, n_quotes, parent_turn (null: no link), thread_turn (null: main thread)."""
     ship(messages.sparkSession)
@@ -104,13 +119,15 @@ def linked(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
             got = [parse(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("conv_id", "turn", "role")), pa.array([b for b, _ in got], pa.string()),
-                 pa.array([[{"level": level, "h": h} for level, h in units] for _, units in got], unit)],
-                ["conv_id", "turn", "role", "body", "units"])
+                 pa.array([[{"level": level, "h": h} for level, h in units] for _, units in got], unit),
+                 pa.array([t if any(level for level, _ in units) else None for t, (_, units) in zip(batch.column("text").to_pylist(), got, strict=True)], pa.string())],
+                ["conv_id", "turn", "role", "body", "units", "quoting"])
 
-    rows = written(picked.mapInArrow(run, "conv_id long, turn long, role string, body string, units array<struct<level:int,h:binary>>"))
-    units = rows.select("conv_id", "turn", F.explode("units").alias("u")).select("conv_id", "turn", "u.level", "u.h")
+    parsed = picked.mapInArrow(run, "conv_id long, turn long, role string, body string, units array<struct<level:int,h:binary>>, quoting string")
+    rows = written(parsed.withColumn("row", F.monotonically_increasing_id()))
+    units = rows.select("conv_id", "turn", "row", F.explode("units").alias("u")).select("conv_id", "turn", "row", "u.level", "u.h")
     first = units.where("level = 0").groupBy("conv_id", "h").agg(F.min("turn").alias("original"))
-    quotes = units.where("level > 0").join(first, ["conv_id", "h"]).where("original < turn")
+    quotes = written(units.where("level > 0").join(first, ["conv_id", "h"]).where("original < turn"))
     best = quotes.groupBy("conv_id", "turn").agg(F.min(F.struct("level", (-F.col("original")).alias("o"))).alias("m"))
     links = written(best.select("conv_id", "turn", (-F.col("m.o")).alias("parent_turn")))
     roots = links.select("conv_id", "turn", F.col("parent_turn").alias("top"))
@@ -123,7 +140,16 @@ def linked(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     # Threads hold the replies and the messages at their tops.
     threads = roots.union(roots.select("conv_id", F.col("top").alias("turn"), "top").distinct())
     quoted = F.size(F.filter("units", lambda u: u["level"] > 0)).cast("long")
-    return (rows.withColumn("n_quotes", quoted).drop("units").join(links, ["conv_id", "turn"], "left")
+
+    def remove(batches):
+        for batch in batches:
+            texts, hashes = batch.column("quoting").to_pylist(), batch.column("hs").to_pylist()
+            yield pa.RecordBatch.from_pydict({"row": batch.column("row"), "own": pa.array([unquoted(t, set(h or ())) for t, h in zip(texts, hashes, strict=True)], pa.string())})
+
+    hashes = quotes.groupBy("row").agg(F.collect_set("h").alias("hs"))
+    own = rows.where("quoting IS NOT NULL").join(hashes, "row", "left").select("row", "quoting", "hs").mapInArrow(remove, "row long, own string")
+    rows = rows.withColumn("n_quotes", quoted).join(own, "row", "left").withColumn("body", F.coalesce("own", "body"))
+    return (rows.drop("units", "quoting", "own", "row").join(links, ["conv_id", "turn"], "left")
             .join(threads.withColumnRenamed("top", "thread_turn"), ["conv_id", "turn"], "left"))
 
 

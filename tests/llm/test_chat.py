@@ -55,3 +55,12 @@ def test_parts_are_consecutive_and_copies_count_once(spark):
         assert bodies == sorted(b for i, _, _, b in rows if i == c)
     whole = conversations(frame(spark, [(1, t, "user", f"m{t}") for t in range(64)] * 5)).collect()
     assert [(r.part, r.n_messages) for r in whole] == [(0, 64)]
+
+
+def test_passages_without_original_stay(spark):
+    rows = [(1, 0, "user", "Run this"), (1, 1, "assistant", "Try:\n>>> x = 1\n>>> x\n1"), (1, 2, "user", "Ann wrote:\n> from outside\nNo"),
+            (1, 3, "user", "Bob wrote:\n> Run this\n>\n> not said\n\nOK"), (None, 0, "user", "> a\nb"), (1, 4, "user", "Bob wrote:\n> Run this\n\n\nBye")]
+    got = {(r.conv_id, r.turn): r for r in linked(frame(spark, rows)).collect()}
+    assert got[1, 1].body == rows[1][3] and got[1, 2].body == rows[2][3] and got[None, 0].body == "> a\nb"
+    assert got[1, 3].body == "> not said\n\nOK" and got[1, 3].parent_turn == 0
+    assert got[1, 4].body == "Bye" and got[1, 4].n_quotes == 1
