@@ -14,8 +14,8 @@ the most links so far, leaving out hubs that have been compared with all of a bu
 ``ROUNDS`` rounds all remaining pairs of different components whose bound allows a link are compared,
 each in the first of its buckets. So each candidate pair is compared, joined by others, or can't link.
 
-A signature test with 150 minima drops a pair only when it lies ``MARGIN`` below the asked
-similarity (over 4.4 standard deviations). Full sets are compared as sets of word runs, not hashes.
+A signature test drops a pair before that if so few of its minima agree that a pair at the asked
+similarity would be dropped with a probability below ``DROPPED`` (binomial, computed exactly). Full sets are compared as sets of word runs, not hashes.
 
 Edge cases: null, blank or empty texts have an empty set and link with nothing. A text with fewer
 words than a shingle has one shingle, all its words. Repeated rows share a class. Rows with a null
@@ -25,6 +25,7 @@ doc_id are left out of links and are kept. A doc_id on several rows is one docum
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from surveypulse.llm.common import ship, written
 from surveypulse.llm.components import components
 
 SHINGLE, SIMILAR = 5, 80
-BANDS, ROWS, MARGIN, ROUNDS = 30, 5, 0.13, 2
+BANDS, ROWS, DROPPED, ROUNDS = 30, 5, 1e-7, 2
 PRIME = (1 << 61) - 1
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Of one hub, so many partners are compared in a task's group.
@@ -101,6 +102,16 @@ def band_keys(bands: int = BANDS, rows: int = ROWS):
     )
 
 
+def least_agreeing(similar: int, minima: int, dropped: float = DROPPED) -> int:
+    """The most minima that can be asked to agree if fewer do so with a probability below ``dropped``."""
+    p, below = similar / 100, 0.0
+    for k in range(minima):
+        below += math.comb(minima, k) * p**k * (1 - p) ** (minima - k)
+        if below >= dropped:
+            return k
+    return minima
+
+
 def agreeing(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) whose signatures agree in a share of ``least`` or more."""
     both = (pairs.join(classes.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
@@ -181,7 +192,7 @@ def near_components(docs: DataFrame, size: int, similar: int) -> tuple[DataFrame
     nodes = buckets.select("id").distinct()
     texts = docs.select(F.col("doc_id").alias("id"), "text")
     texts = written(texts.join(nodes, "id").join(classes.select("id", "n_shingles"), "id"))
-    least = similar / 100 - MARGIN
+    least = least_agreeing(similar, BANDS * ROWS) / (BANDS * ROWS)
 
     def links(pairs: DataFrame) -> DataFrame:
         return written(confirmed(agreeing(pairs.distinct(), classes, least), texts, size, similar))

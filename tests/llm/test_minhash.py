@@ -1,7 +1,10 @@
 """MinHash near-dedup and components against all pairs."""
 
+import math
 import random
+from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from surveypulse.llm import minhash
@@ -87,3 +90,17 @@ def test_corpus(stored, nothing, nulls):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(brute(rows, 5, 80), key=key)
     assert minhash_dedup(nothing).count() == 0
     assert [tuple(r) for r in minhash_dedup(nulls).collect()] == [(None, 0, None, True)] * 3
+
+
+@pytest.mark.parametrize("similar", [80, 85])
+def test_signature_test_drops_next_to_nothing(spark, similar):
+    """Of pairs at the asked similarity fewer than one in ten million, by exact fractions; a signature
+    with just enough equal minima stays."""
+    n, p = minhash.BANDS * minhash.ROWS, Fraction(similar, 100)
+    least = minhash.least_agreeing(similar, n)
+    miss = [sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k)) for k in (least, least + 1)]
+    assert miss[0] < Fraction(1, 10**7) <= miss[1]
+    sigs = [np.zeros(n, np.uint32), np.arange(n, dtype=np.uint32) >= least, np.arange(n, dtype=np.uint32) >= least - 1]
+    classes = spark.createDataFrame([(i, bytearray(s.astype(np.uint32).tobytes())) for i, s in enumerate(sigs)], "id long, sig binary")
+    pairs = spark.createDataFrame([(0, 1), (0, 2)], "a long, b long")
+    assert [tuple(r) for r in minhash.agreeing(pairs, classes, least / n).collect()] == [(0, 1)]
