@@ -45,7 +45,7 @@ PROPOSALS = (
      "iban account bank konto compte cuenta", "isbn"),
     ("id", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), 0.4, None,
      "ssn social security taxpayer", "isbn order version"),
-    ("secret", re.compile(r"(?<![A-Za-z0-9])(?=[a-z]*[0-9])[A-Za-z0-9_]{32,128}(?![A-Za-z0-9])"), 0.4, None,
+    ("secret", re.compile(r"(?<![A-Za-z0-9_])(?=[A-Za-z_]*+[0-9])[A-Za-z0-9_]{32,}+"), 0.4, None,
      "token secret password passwd apikey api_key key", "sha256 md5 checksum commit"),
 )
 WORDS = re.compile(r"\w+")

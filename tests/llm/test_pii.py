@@ -71,3 +71,16 @@ def test_query(stored, nothing, nulls):
     assert personal_data(nothing).count() == 0
     assert [tuple(r)[1:5] for r in personal_data(nulls).collect()] == [(0, 0, 0, 0)] * 3
     assert [r.text for r in personal_data(nulls, keep=True).collect()] == [None] * 3
+
+
+def test_secrets_of_any_length_and_case():
+    """Whole runs of 32 letters, digits and '_' or more with a digit; the scan stays linear."""
+    keys = ["F3" * 20, "AKIA" + "IOSFODNN7EXAMPLE" * 2, "sk_live_" + "4eC39HqLyjWDarjtT1zdp7dc", "a1b2" * 50, "_" + "a1b2" * 9]
+    for key in keys:
+        text = f"token: {key}, more"
+        assert more_spans(text, []) == [(7, "secret", 7 + len(key))]
+    assert more_spans("token: " + "a1" * 15 + " " + "ab" * 20, []) == []
+    start = time.process_time()
+    for run in ("_" * 300_000, "a_" * 150_000, "A" * 300_000):
+        assert more_spans(f"1 token {run}", []) == []
+    assert time.process_time() - start < 5
