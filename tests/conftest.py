@@ -141,9 +141,3 @@ def survey(tmp_path_factory):
     write(folder, "EVT00003.txt", "no header date\n14:00:00.0: x\n")
     write(folder, "MAG00003.txt", "")
     return str(folder)
-
-
-def rows(df, *columns):
-    """Rows as tuples, in a fixed order."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda t: tuple((v is None, str(type(v)), v) for v in t))

@@ -1,7 +1,7 @@
 """Single rules, each on a few rows."""
 
 import pytest
-from conftest import rows
+from survey_helpers import rows
 from pyspark.sql import functions as F
 
 from surveypulse import reference as ref

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
+from survey_helpers import rows
 
 from surveypulse.functions.clock import seconds_of_day
 from surveypulse.operators import series

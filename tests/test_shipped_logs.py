@@ -3,7 +3,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from survey_helpers import rows
 
 from surveypulse.plans.status import StatusRun
 

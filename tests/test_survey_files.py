@@ -1,7 +1,7 @@
 """Hand-made sessions with every file kind; expected values worked out by hand."""
 
 import pytest
-from conftest import rows
+from survey_helpers import rows
 
 from surveypulse.plans.report import write_report
 from surveypulse.plans.status import StatusRun
