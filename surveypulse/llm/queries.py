@@ -6,6 +6,10 @@ from surveypulse.llm.ann import nearest
 from surveypulse.llm.bpe import bpe_encode
 from surveypulse.llm.chat import conversations
 from surveypulse.llm.common import table, tokenizer_file
+from surveypulse.llm.divergence import oracle as divergence_sql
+from surveypulse.llm.divergence import source_divergence
+from surveypulse.llm.merkle import merkle_manifest
+from surveypulse.llm.merkle import oracle as merkle_sql
 from surveypulse.llm.minhash import minhash_dedup
 from surveypulse.llm.oracle import near_sql, substring_sql
 from surveypulse.llm.packing import best_fit_packing
@@ -15,6 +19,8 @@ from surveypulse.llm.quality import quality_rules
 from surveypulse.llm.scoring import lm_scores
 from surveypulse.llm.substring_dedup import substring_dedup
 from surveypulse.llm.suffix_dedup import suffix_dedup
+from surveypulse.llm.url_filters import oracle as url_sql
+from surveypulse.llm.url_filters import url_verdicts
 
 
 def op1_substring_dedup(spark, sf_dir):
@@ -58,9 +64,26 @@ def op10_lm_scoring(spark, sf_dir):
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_packing, op4_minhash, op5_bpe, op6_suffix_dedup, op7_chat, op8_ann, op9_pii, op10_lm_scoring)}
+def op11_url_filters(spark, sf_dir):
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
+def op12_source_divergence(spark, sf_dir):
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle_manifest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op2_quality_rules, op3_packing, op4_minhash, op5_bpe, op6_suffix_dedup, op7_chat, op8_ann, op9_pii, op10_lm_scoring,
+    op11_url_filters, op12_source_divergence, op13_merkle_manifest)}
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": substring_sql(),
     "op2_quality_rules": quality_sql(),
     "op4_minhash": near_sql(),
+    "op11_url_filters": url_sql(),
+    "op12_source_divergence": divergence_sql(),
+    "op13_merkle_manifest": merkle_sql(),
 }
