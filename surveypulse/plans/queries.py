@@ -703,7 +703,9 @@ def _configs(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFram
     )
     if broken:
         document = F.when(F.col("o_orderkey") % 7 == 0, F.substring(document, 1, 200)).otherwise(document)
-    texts = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("session"), document.alias("xml"))
+    # The table may be one partition: parsing takes all cores.
+    orders = _table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism)
+    texts = orders.select(F.col("o_orderkey").alias("session"), document.alias("xml"))
     return config_xml.parse_config(texts, "xml", ["session"])
 
 
