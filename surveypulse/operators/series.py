@@ -9,11 +9,11 @@ one or two rows per chunk.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from surveypulse.operators.joins import join_sized
@@ -69,6 +69,122 @@ def ordered_rank(df: DataFrame, keys: Iterable[str], chunk: str, order: str, nam
     return ranked.withColumn(name, F.col("_before") + F.col("_inside")).drop("_chunk", "_inside", "_before")
 
 
+def _carry(df: DataFrame, keys: list[str], chunk: str, summary: Column, before: Callable[[str, WindowSpec], Column]) -> DataFrame:
+    """``df`` with ``_carried``, what the chunks before a row's chunk hand on: one summary per chunk,
+    combined along the chunks of a key. The join deals rows as the windows over chunks do that follow it."""
+    pieces = df.groupBy(*keys, F.col(chunk).alias("_chunk")).agg(summary.alias("_summary"))
+    handed = pieces.select(*keys, "_chunk", before("_summary", Window.partitionBy(*keys).orderBy("_chunk")).alias("_carried"))
+    cut = df.withColumn("_chunk", F.col(chunk))
+    return cut.join(handed, [*keys, "_chunk"]).drop("_chunk")
+
+
+def _inside(keys: list[str], chunk: str, order: str) -> WindowSpec:
+    return Window.partitionBy(*keys, chunk).orderBy(order)
+
+
+_EARLIER = (Window.unboundedPreceding, -1)
+_SO_FAR = (Window.unboundedPreceding, 0)
+
+
+def with_previous(df: DataFrame, keys: Iterable[str], chunk: str, order: str, columns: list[str], prefix: str = "previous_") -> DataFrame:
+    """The given columns of the row before, NULL at the first row of a series."""
+    keys, row = list(keys), F.struct(*columns)
+    carried = _carry(df, keys, chunk, F.max_by(row, order), lambda name, along: F.lag(name).over(along))
+    # A struct tells "no row" from "a row of missing values".
+    before = F.coalesce(F.lag(row).over(_inside(keys, chunk, order)), F.col("_carried"))
+    held = carried.withColumn("_before", before)
+    return held.select(*df.columns, *[F.col("_before")[c].alias(prefix + c) for c in columns])
+
+
+def filled_forward(df: DataFrame, keys: Iterable[str], chunk: str, order: str, column: str, name: str, before: bool = False) -> DataFrame:
+    """The last value of ``column`` up to and with each row, or only before it; NULL if there is none."""
+    keys, known = list(keys), F.col(column).isNotNull()
+    latest = F.max_by(F.col(column), F.when(known, F.col(order)))
+    carried = _carry(df, keys, chunk, latest, lambda s, along: F.last(s, ignorenulls=True).over(along.rowsBetween(*_EARLIER)))
+    here = F.last(column, ignorenulls=True).over(_inside(keys, chunk, order).rowsBetween(*(_EARLIER if before else _SO_FAR)))
+    return carried.withColumn(name, F.coalesce(here, F.col("_carried"))).drop("_carried")
+
+
+def with_state(df: DataFrame, keys: Iterable[str], chunk: str, order: str, step: str, start: Column, state: str, stretch: str) -> DataFrame:
+    """The ``state`` that the last ``step`` up to each row set, ``start`` before any, and the number of the
+    ``stretch`` of equal states that the row is in, from 1.
+
+    A chunk of rows acts on the state before it like a single row: it keeps it if no row has a step, else it
+    sets its last one. It adds as many stretches as its steps change, and one if its first step isn't the
+    state before. So a chunk hands on four values, whatever its rows.
+    """
+    keys, known = list(keys), F.col(step).isNotNull()
+    here = _inside(keys, chunk, order)
+    local = df.withColumn("_local", F.last(step, ignorenulls=True).over(here.rowsBetween(*_SO_FAR)))
+    changes = (F.col("_local") != F.lag("_local").over(here)).cast("bigint")
+    local = local.withColumn("_changes", F.coalesce(F.sum(changes).over(here.rowsBetween(*_SO_FAR)), F.lit(0)))
+    placed = F.when(known, F.col(order))
+    pieces = local.groupBy(*keys, F.col(chunk).alias("_chunk")).agg(
+        F.min_by(F.col(step), placed).alias("_first"), F.max_by(F.col(step), placed).alias("_last"), F.max("_changes").alias("_changed"))
+    along = Window.partitionBy(*keys).orderBy("_chunk")
+    stated = pieces.withColumn("_state", F.coalesce(F.last("_last", ignorenulls=True).over(along.rowsBetween(*_EARLIER)), start))
+    added = F.col("_changed") + F.coalesce(F.col("_first") != F.col("_state"), F.lit(False)).cast("bigint")
+    handed = stated.select(
+        *keys, "_chunk", "_state", F.coalesce(F.col("_first") != F.col("_state"), F.lit(False)).cast("bigint").alias("_differs"),
+        F.coalesce(F.sum(added).over(along.rowsBetween(*_EARLIER)), F.lit(0)).alias("_before"))
+    # A series whose first row has a step that isn't ``start`` begins with that step's stretch.
+    opening = df.groupBy(*keys).agg(F.min_by(F.coalesce(F.col(step) != start, F.lit(False)), F.struct(chunk, order)).cast("bigint").alias("_opening"))
+    met = local.withColumn("_chunk", F.col(chunk)).join(handed.join(opening, keys), [*keys, "_chunk"])
+    number = 1 + F.col("_before") + F.col("_changes") + F.when(F.col("_local").isNotNull(), F.col("_differs")).otherwise(0) - F.col("_opening")
+    return met.select(*df.columns, F.coalesce("_local", "_state").alias(state), number.alias(stretch))
+
+
+def running_count(df: DataFrame, keys: Iterable[str], chunk: str, order: str, flag: Column, name: str) -> DataFrame:
+    """How often ``flag`` was true up to and with each row."""
+    keys = list(keys)
+    marked = df.withColumn("_flag", F.coalesce(flag, F.lit(False)).cast("bigint"))
+    carried = _carry(marked, keys, chunk, F.sum("_flag"), lambda s, along: F.sum(s).over(along.rowsBetween(*_EARLIER)))
+    here = F.sum("_flag").over(_inside(keys, chunk, order).rowsBetween(*_SO_FAR))
+    return carried.withColumn(name, here + F.coalesce("_carried", F.lit(0))).drop("_flag", "_carried")
+
+
+def neighbourhood(df: DataFrame, keys: Iterable[str], chunk: str, order: str, reach: int, block_rows: int = 1 << 16) -> tuple[DataFrame, WindowSpec]:
+    """Rows dealt to blocks of consecutive ranks, each with ``reach`` rows of its neighbours around it, and
+    the window over a block. ``own`` marks the rows of the block itself; keep those after looking around."""
+    keys = list(keys)
+    width = max(block_rows, reach)
+    ranked = ordered_rank(df, keys, chunk, order, "_rank")
+    place = F.col("_rank") - 1
+    block, inside = F.floor(place / width), place % width
+    # The block itself, and its neighbour where the row stands near that edge.
+    blocks = F.array_compact(F.array(block, F.when((inside < reach) & (block > 0), block - 1), F.when(inside >= width - reach, block + 1)))
+    dealt = ranked.withColumn("_block", F.explode(blocks)).withColumn("own", F.col("_block") == block)
+    return dealt, Window.partitionBy(*keys, "_block").orderBy("_rank")
+
+
+def shifted(df: DataFrame, keys: Iterable[str], chunk: str, order: str, columns: list[str], by: int) -> DataFrame:
+    """The given columns take the values of ``by`` rows later (earlier if negative), NULL beyond the ends."""
+    around, here = neighbourhood(df, keys, chunk, order, abs(by))
+    moved = around.withColumns({c: F.lead(F.struct(c), by).over(here)[c] for c in columns})
+    return moved.where("own").select(*df.columns)
+
+
+def lag_correlations(df: DataFrame, keys: Iterable[str], chunk: str, order: str, moved: str, still: str, most: int) -> DataFrame:
+    """``keys, lag, n, correlation`` for each lag from ``-most`` to ``most``: the correlation of ``still`` with
+    ``moved`` of ``lag`` rows later, over the rows where neither is missing. Sums of a block are merged
+    before the shuffle by key and lag."""
+    keys = list(keys)
+    around, here = neighbourhood(df.select(*keys, chunk, order, moved, still), keys, chunk, order, most)
+    lags = F.array(*[F.struct(F.lit(k).alias("lag"), F.lead(F.col(moved), k).over(here).alias("y")) for k in range(-most, most + 1)])
+    pairs = around.select(*keys, "own", F.col(still).alias("x"), lags.alias("_lags")).where("own").select(*keys, "x", F.inline("_lags"))
+    pairs = pairs.where("x IS NOT NULL AND y IS NOT NULL")
+    return pairs.groupBy(*keys, "lag").agg(F.count("*").alias("n"), F.corr("x", "y").alias("correlation"))
+
+
+def best_lag(correlations: DataFrame, keys: Iterable[str], least_rows: int = 3, digits: int = 9) -> DataFrame:
+    """``keys, lag, correlation``: the lag of the strongest correlation either way, the smallest such lag, and
+    of two equally far ones the positive one; lags with fewer than ``least_rows`` pairs don't count."""
+    strength = F.round(F.abs("correlation"), digits)
+    known = correlations.where(F.col("correlation").isNotNull() & ~F.isnan("correlation") & (F.col("n") >= least_rows))
+    best = F.max_by(F.struct("lag", "correlation"), F.struct(strength, -F.abs("lag"), "lag"))
+    return known.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.lag", "_best.correlation")
+
+
 def live_channels(df: DataFrame, keys: Iterable[str], channels: list[str]) -> DataFrame:
     """Bit per channel that has any value in the key: ``keys``, ``live_0`` and so on, a word each."""
     present = _words([~F.col(c).isNull() for c in channels])
