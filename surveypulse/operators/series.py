@@ -96,13 +96,20 @@ def with_previous(df: DataFrame, keys: Iterable[str], chunk: str, order: str, co
     return held.select(*df.columns, *[F.col("_before")[c].alias(prefix + c) for c in columns])
 
 
-def filled_forward(df: DataFrame, keys: Iterable[str], chunk: str, order: str, column: str, name: str, before: bool = False) -> DataFrame:
-    """The last value of ``column`` up to and with each row, or only before it; NULL if there is none."""
-    keys, known = list(keys), F.col(column).isNotNull()
-    latest = F.max_by(F.col(column), F.when(known, F.col(order)))
-    carried = _carry(df, keys, chunk, latest, lambda s, along: F.last(s, ignorenulls=True).over(along.rowsBetween(*_EARLIER)))
-    here = F.last(column, ignorenulls=True).over(_inside(keys, chunk, order).rowsBetween(*(_EARLIER if before else _SO_FAR)))
-    return carried.withColumn(name, F.coalesce(here, F.col("_carried"))).drop("_carried")
+def filled_forward(df: DataFrame, keys: Iterable[str], chunk: str, order: str, columns: str | list[str], names: str | list[str],
+                   before: bool = False) -> DataFrame:
+    """The last value of each column up to and with each row, or only before it; NULL if there is none."""
+    keys = list(keys)
+    columns, names = ([columns], [names]) if isinstance(columns, str) else (columns, names)
+    latest = F.struct(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns])
+
+    def handed(summary: str, along: WindowSpec) -> Column:
+        earlier = along.rowsBetween(*_EARLIER)
+        return F.struct(*[F.last(F.col(summary)[c], ignorenulls=True).over(earlier).alias(c) for c in columns])
+
+    here = _inside(keys, chunk, order).rowsBetween(*(_EARLIER if before else _SO_FAR))
+    filled = {n: F.coalesce(F.last(c, ignorenulls=True).over(here), F.col("_carried")[c]) for c, n in zip(columns, names, strict=True)}
+    return _carry(df, keys, chunk, latest, handed).withColumns(filled).drop("_carried")
 
 
 def with_state(df: DataFrame, keys: Iterable[str], chunk: str, order: str, step: str, start: Column, state: str, stretch: str) -> DataFrame:
@@ -173,7 +180,9 @@ def lag_correlations(df: DataFrame, keys: Iterable[str], chunk: str, order: str,
     lags = F.array(*[F.struct(F.lit(k).alias("lag"), F.lead(F.col(moved), k).over(here).alias("y")) for k in range(-most, most + 1)])
     pairs = around.select(*keys, "own", F.col(still).alias("x"), lags.alias("_lags")).where("own").select(*keys, "x", F.inline("_lags"))
     pairs = pairs.where("x IS NOT NULL AND y IS NOT NULL")
-    return pairs.groupBy(*keys, "lag").agg(F.count("*").alias("n"), F.corr("x", "y").alias("correlation"))
+    # A channel that doesn't vary has no correlation.
+    correlation = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
+    return pairs.groupBy(*keys, "lag").agg(F.count("*").alias("n"), correlation.alias("correlation"))
 
 
 def best_lag(correlations: DataFrame, keys: Iterable[str], least_rows: int = 3, digits: int = 9) -> DataFrame:

@@ -6,8 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveypulse.functions.clock import seconds_of_day
-from surveypulse.operators import asof, flight, grid, series
-from surveypulse.plans.queries import _query, _round, _series, _table
+from surveypulse.operators import asof, flight, grid, radiometric, series
+from surveypulse.plans.queries import _LOG, _log, _query, _round, _series, _table
+from surveypulse.plans.report import write_table
+from surveypulse.plans.status import StatusRun
+from surveypulse.session import shared_path
+from surveypulse.sources import survey_text, xyz
+from surveypulse.streaming import log_facts
 
 # Rows per chunk: small, so that every series crosses chunks at every scale.
 _CHUNK = 500
@@ -173,3 +178,172 @@ def q_grid(spark, sf_dir):
         F.when(F.col("event_type") != "error", F.col("value") * 2 + 1).alias("v"))
     nodes = grid.gridded(points, ["area"], "x", "y", "v", 10.0)
     return nodes.select("area", "col", "row", "x", "y", _round("value", 6), "n")
+
+
+# -- text written and read back -----------------------------------------------------------
+
+
+@_query("""SELECT CAST(user_id AS VARCHAR) AS line, row_number() OVER (ORDER BY user_id, event_id) AS place, CAST(event_id AS DOUBLE) AS event_id,
+  round(value, 1) AS value, CASE WHEN event_type <> 'error' THEN round(value * 7.2, 3) END AS heading FROM events""")
+def q_xyz_export(spark, sf_dir):
+    """Rows exported by line and read back, with their place in the whole text."""
+    tracks = _table(spark, sf_dir, "events").select(
+        "user_id", "event_id", "value", F.when(F.col("event_type") != "error", F.col("value") * 7.2).alias("heading"))
+    path = shared_path(spark, "xyz")
+    xyz.write_xyz(tracks, path, "user_id", "event_id", {"event_id": 0, "value": 1, "heading": 3})
+    back = xyz.read_xyz(spark, path, ["event_id", "value", "heading"]).withColumns(
+        {"export": F.lit(1), "piece": F.col("place._piece"), "mid": F.col("place._mid")})
+    ranked = series.ordered_rank(back.drop("place"), ["export"], "piece", "mid", "place")
+    return ranked.select("line", F.col("place").cast("bigint"), "event_id", "value", "heading")
+
+
+def _text_of(rows: DataFrame, path: str, place: list[str]) -> str:
+    """Lines written in order, in as many files as there are ranges."""
+    rows.repartitionByRange(*place).sortWithinPartitions(*place).select("value").write.text(path)
+    return path
+
+
+def _whole_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a folder of part files as one text."""
+    found = survey_text.text_lines(spark, path)
+    return found.select(F.lit("plan").alias("file"), F.struct(F.col("file").alias("part"), "block").alias("block"), "mid", "value")
+
+
+@_query("""WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, row_number() OVER (ORDER BY o_orderkey) AS entity FROM orders),
+z AS (SELECT *, last_value(CASE WHEN o_orderkey % 50 < 5 THEN (1 + o_custkey % 60) || 'N' END IGNORE NULLS) OVER (ORDER BY o_orderkey) AS zone FROM o)
+SELECT entity, CAST(o_custkey AS VARCHAR) AS label, CASE o_orderstatus WHEN 'F' THEN 'flown' WHEN 'O' THEN 'unflown' ELSE 'flying' END AS state,
+  CAST(i AS INT) AS point, CAST(o_totalprice * i AS DECIMAL(18,2))::DOUBLE AS x, o_orderkey::DOUBLE AS y, NULL::DOUBLE AS z, zone AS utm_zone, 80.0::DOUBLE AS radar_height
+FROM z, range(1, 4) r(i) WHERE i <= 1 + o_orderkey % 3""")
+def q_nav_plan(spark, sf_dir):
+    """A navigation plan: each order an entity of one to three points; the zone changes between them."""
+    orders = _table(spark, sf_dir, "orders")
+    key, text = F.col("o_orderkey"), lambda c: c.cast("string")
+    state = F.when(F.col("o_orderstatus") == "F", "1").when(F.col("o_orderstatus") == "O", "0").otherwise("2")
+    points = F.transform(F.sequence(F.lit(1).cast("bigint"), 1 + key % 3), lambda i: F.concat_ws(
+        ",", text((F.col("o_totalprice") * i).cast("decimal(18,2)")), text(key), F.lit("none")))
+    entity = F.concat_ws(",", F.lit("Coord"), state, text(F.col("o_custkey")), text(1 + key % 3), F.concat_ws(",", points))
+    zone = F.concat(F.lit("UTMZone,"), text(1 + F.col("o_custkey") % 60), F.lit("N,,"))
+    first = spark.range(1).select(F.lit(-1).cast("bigint").alias("at"), F.lit(0).alias("row"), F.lit("RadarHeight, 80 ,,,").alias("value"))
+    lines = orders.select(key.alias("at"), F.lit(2).alias("row"), entity.alias("value")).unionByName(
+        orders.where(key % 50 < 5).select(key.alias("at"), F.lit(0).alias("row"), zone.alias("value"))).unionByName(
+        orders.where(key % 50 < 5).select(key.alias("at"), F.lit(1).alias("row"), F.lit("!UTMZone,99N is not a record").alias("value"))).unionByName(first)
+    plan = survey_text.nav_plan(_whole_lines(spark, _text_of(lines, shared_path(spark, "plan"), ["at", "row"])))
+    return plan.select("entity", "label", "state", "point", "x", "y", "z", "utm_zone", "radar_height")
+
+
+@_query("""SELECT 'C' || o_custkey AS channel, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS ordinal,
+  CAST(o_orderkey % 7 AS INT) AS first_code, CAST(-1 AS INT) AS last_code, CAST(o_totalprice AS DECIMAL(18,2))::DOUBLE AS coefficient FROM orders""")
+def q_compensation(spark, sf_dir):
+    """A compensation model: a block per customer, a term per order."""
+    orders = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    term = F.concat_ws(",", (F.col("o_orderkey") % 7).cast("string"), F.lit("302,1,-1"), F.lit("-1"), F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    block = orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
+    heads = block.select("o_custkey", F.inline(F.array(*[F.struct(F.lit(i - 9).cast("bigint").alias("at"), v.alias("value")) for i, v in enumerate((
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")), F.lit("12.9647"), F.lit("5.6e-005"), F.col("n").cast("string")))])))
+    lines = heads.unionByName(orders.select("o_custkey", F.col("o_orderkey").alias("at"), term.alias("value")))
+    terms = survey_text.compensation_terms(_whole_lines(spark, _text_of(lines, shared_path(spark, "model"), ["o_custkey", "at"])))
+    return terms.select("channel", "ordinal", F.get("codes", F.lit(0)).alias("first_code"), F.get("codes", F.lit(4)).alias("last_code"), "coefficient")
+
+
+_RATIOS = {0: [[], [0.2533333333], [0.4121212121, 0.7519191919]], 1: [[], [0.3066666667], [0.5171717171, 0.8033333333]]}
+
+
+@_query("""WITH c(crystal, b0, b1, b2, a, b, g) AS (VALUES
+  (0, 1.5::DOUBLE, 2.0::DOUBLE, 8.0::DOUBLE, 0.2533333333::DOUBLE, 0.4121212121::DOUBLE, 0.7519191919::DOUBLE),
+  (1, 1.0, 2.5, 9.0, 0.3066666667, 0.5171717171, 0.8033333333)),
+r AS (SELECT l_orderkey, l_linenumber, l_quantity / nullif(l_discount * 10, 0) - b0 AS th, l_extendedprice / 1000 / nullif(l_discount * 10, 0) - b1 AS u,
+  l_partkey / 10.0 / nullif(l_discount * 10, 0) - b2 AS k, a, b, g FROM lineitem JOIN c ON crystal = l_orderkey % 2)
+SELECT l_orderkey, l_linenumber, round(th, 6) AS th_rate, round(th, 6) AS th_stripped, round(u - a * th, 6) AS u_stripped,
+  round(k - b * th - g * (u - a * th), 6) AS k_stripped FROM r""")
+def q_radiometric(spark, sf_dir):
+    """Counts to stripped rates by the coefficients of their crystal."""
+    rows = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_orderkey") % 2).alias("crystal"), F.col("l_quantity").cast("double").alias("th"),
+        (F.col("l_extendedprice") / 1000).alias("u"), (F.col("l_partkey") / 10.0).alias("k"), (F.col("l_discount") * 10).alias("live"))
+    known = spark.createDataFrame([(0, [1.5, 2.0, 8.0], _RATIOS[0]), (1, [1.0, 2.5, 9.0], _RATIOS[1])],
+                                  "crystal BIGINT, background ARRAY<DOUBLE>, ratios ARRAY<ARRAY<DOUBLE>>")
+    found = radiometric.stripped(rows, known, ["crystal"], ["th", "u", "k"], "live")
+    return found.select("l_orderkey", "l_linenumber", _round("th_rate", 6), _round("th_stripped", 6), _round("u_stripped", 6), _round("k_stripped", 6))
+
+
+# -- sessions as files, read by a whole run -----------------------------------------------
+
+
+def _session_files(spark: SparkSession, rows: DataFrame, folder: str, kind: str) -> None:
+    """One text file per session from its lines, in order, under the name that sessions' files have."""
+    parts = shared_path(spark, "parts")
+    rows.repartition("session").sortWithinPartitions("session", "mid").select("session", "value").write.partitionBy("session").text(parts)
+    path = spark._jvm.org.apache.hadoop.fs.Path  # only names are moved here, in whatever store it is
+    store = path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path(folder))
+    for place in store.listStatus(path(parts)):
+        if place.isDirectory():
+            session = int(place.getPath().getName().split("=")[1])
+            files = [f.getPath() for f in store.listStatus(place.getPath()) if f.getPath().getName().startswith("part-")]
+            store.rename(files[0], path(f"{folder}/{kind}{session:05d}.txt"))
+
+
+def _survey(spark: SparkSession, sf_dir: str, tables: bool = True) -> StatusRun:
+    """A run over the days of events as sessions: event logs, and magnetometer tables of odd days."""
+    folder = f"{shared_path(spark, 'files')}/survey"
+    log = _log(spark, sf_dir).select((F.col("day") % 100).alias("session"), "mid", "value")
+    _session_files(spark, log, folder, "EVT")
+    if tables:
+        reading = F.when(F.col("event_type") != "error", F.col("value").cast("string")).otherwise("####")
+        shown = F.concat(F.lpad(F.date_format("ts", "HHmmss.SSS"), 12, " "), F.lpad(reading, 10, " "), F.lpad(F.col("user_id").cast("string"), 8, " "))
+        days = _table(spark, sf_dir, "events").where("day(ts) % 2 = 1").select(F.dayofmonth("ts").alias("session"), F.col("event_id").alias("mid"), shown.alias("value"))
+        head = days.select("session").distinct().select("session", F.lit(-1).cast("bigint").alias("mid"), F.lit("        Time      Mag1     Xpr").alias("value"))
+        _session_files(spark, days.unionByName(head), folder, "MAG")
+    return StatusRun(spark, folder)
+
+
+_DAYS = f"{_LOG}, sessions AS (SELECT DISTINCT day % 100 AS session FROM log)"
+
+
+@_query(f"""WITH {_LOG} SELECT 'survey' AS dataset, day % 100 AS session, CAST(min(tick) AS DATE) AS date,
+  CASE WHEN day % 2 = 1 THEN date_trunc('day', min(tick)) ELSE min(tick) END AS start_ts, max(tick) AS end_ts,
+  round(epoch(max(tick)) - epoch(CASE WHEN day % 2 = 1 THEN date_trunc('day', min(tick)) ELSE min(tick) END), 1) AS duration_s,
+  CASE WHEN day % 2 = 1 THEN count(*) END AS mag_rows, CAST(NULL AS BIGINT) AS gga_rows, CAST(NULL AS BIGINT) AS spc_rows,
+  count(*) FILTER (event_type = 'error' AND value < 50) AS n_critical, count(*) FILTER (event_type = 'purchase') AS n_warnings,
+  count(*) FILTER (event_type = 'purchase' AND warning <> 'M4 TimeO') AS n_mux_timeouts FROM log GROUP BY day""")
+def q_files_summary(spark, sf_dir):
+    """The summary of a run over files, written as a report table and read back."""
+    out = shared_path(spark, "report")
+    write_table(_survey(spark, sf_dir).session_summary, out)
+    return spark.read.parquet(out).withColumn("duration_s", F.round("duration_s", 1))
+
+
+@_query(f"""WITH {_DAYS}, kinds(kind) AS (VALUES ('MAG'), ('GGA'), ('SPC'), ('Cfg'))
+SELECT 'survey' AS dataset, session, kind, 'MISSING' AS state FROM sessions, kinds WHERE kind <> 'MAG' OR session % 2 = 0""")
+def q_files_missing(spark, sf_dir):
+    """Files that sessions lack."""
+    return _survey(spark, sf_dir).files_missing.select("dataset", "session", "kind", "state")
+
+
+@_query(f"""WITH {_LOG}, m AS (SELECT day % 100 AS session, CASE WHEN event_type <> 'error' THEN value END AS v, hour(ts) * 10000 + minute(ts) * 100 + second(ts)
+  + (millisecond(ts) % 1000) / 1000.0 AS clock FROM log WHERE day % 2 = 1)
+SELECT session, 'Mag1' AS channel, count(*) AS n, count(*) - count(v) AS n_null, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, min(v) AS min, max(v) AS max FROM m GROUP BY 1
+UNION ALL SELECT session, 'Time', count(*), 0, round(avg(clock), 6), round(stddev_samp(clock), 6), min(clock), max(clock) FROM m GROUP BY 1""")
+def q_files_stats(spark, sf_dir):
+    """Statistics of the channels in fixed-width files whose layout their headers give."""
+    stats = _survey(spark, sf_dir).stats("MAG").where("channel IN ('Mag1', 'Time')")
+    return stats.select("session", "channel", "n", "n_null", _round("mean", 6), _round("std", 6), "min", "max")
+
+
+@_query(f"""WITH {_DAYS} SELECT 'survey' AS dataset, session, 'COM9' AS port, CASE WHEN coalesce(rate, 0) > 0 THEN 'CONNECTED' ELSE 'DISCONNECTED' END AS status
+FROM sessions LEFT JOIN rates ON day % 100 = session AND port = 'COM9'""")
+def q_files_spectrometer(spark, sf_dir):
+    """Whether the spectrometer's own port reported characters."""
+    return _survey(spark, sf_dir, tables=False).spectrometer_status
+
+
+@_query(f"""WITH {_LOG}, said AS (
+  SELECT day % 100 AS session, 'sensor' AS fact, port, sensor AS said, stamp AS ts FROM log WHERE event_type = 'click'
+  UNION ALL SELECT day % 100, 'rate', port, CASE WHEN value < 20 THEN '0.0' ELSE CAST(value AS VARCHAR) END, stamp FROM log WHERE event_type = 'view')
+SELECT 'survey' AS dataset, CAST(session AS INT) AS session, fact, port, max(ts) AS ts, max_by(said, ts || said) AS said FROM said GROUP BY 2, 3, 4""")
+def q_files_stream(spark, sf_dir):
+    """Last facts per port from log files as a stream, a few files a batch."""
+    folder = _survey(spark, sf_dir, tables=False).folders
+    out = shared_path(spark, "facts")
+    log_facts.keep_latest(spark, folder, out, shared_path(spark, "state"), files_per_trigger=8).awaitTermination()
+    return spark.read.parquet(out)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -26,6 +28,17 @@ def ship_package(spark: SparkSession) -> None:
     context._surveypulse_shipped = True
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); in one of our own
+    only under a local master without that setting."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="surveypulse-")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session with the settings the operators expect."""
     spark = (
