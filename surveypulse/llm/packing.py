@@ -2,14 +2,15 @@
 
 1. Documents become pieces: token ids and an end id, cut only if longer than a sequence. Each piece
    has a rank among the pieces of its length, from counts per partition and length.
-2. The plan needs only how many pieces each length has. Pieces longer than ``SMALL`` are sorted by
+2. The plan needs only how many pieces each length has. Pieces longer than a limit are sorted by
    length into ``GROUPS`` groups of equally many, each rounded up to its longest. For these few sizes
    a configuration program is solved by column generation (simplex steps, each new configuration
    from a knapsack over the dual prices); whole multiples are used, what they leave over is filled
    up greedily from the largest.
 3. Actual pieces take the places of the rounded ones: a run of ranks of one length goes to a run of
    sequences, so gaps are known exactly. Small pieces then go, longest first, into the smallest gap
-   that holds them, and into new sequences when none does.
+   that holds them, and into new sequences when none does. Several limits are tried (``SMALL``), and
+   the plan with fewest sequences is kept.
 
 The plan is a table of runs whose size depends on capacity and groups, not on the documents; each
 piece finds its run by length and rank. Nothing is sorted or gathered by sequence.
@@ -20,11 +21,15 @@ Repeated rows are packed each.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +37,30 @@ from pyspark.sql import functions as F
 from surveypulse.llm.bpe import BLOCK_BYTES, PIECES_KEPT, Numbers, blocks
 from surveypulse.llm.common import ship, written
 
-CAPACITY, END, SMALL, GROUPS = 2048, 0, 512, 96
+CAPACITY, END, GROUPS = 2048, 0, 96
+#: Shares of the capacity up to which a piece is small; the plan with fewest sequences is kept.
+SMALL = (1 / 4, 1 / 3, 2 / 5, 1 / 2)
+
+
+#: The split of words into parts that :class:`WordTokens` can do by itself, for printable ASCII in small letters.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+TOGETHER, LEARNT = 500, 200_000
+
+
+def ascii_by_parts(spec: dict) -> bool:
+    """Whether the tokenizer lowers words, splits them by ``SPLIT`` and marks the last token of each part, so that
+    a printable ASCII word has the ids of its parts."""
+    steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    splits = [(p.get("type"), p.get("pattern", {}).get("Regex"), p.get("invert")) for p in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+    return steps == ["NFC", "Replace", "Lowercase"] and splits == [("Split", SPLIT, True), ("ByteLevel", None, None)] and bool(
+        spec["model"].get("end_of_word_suffix"))
+
+
+def gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` of those starts and sizes, one after the other."""
+    before = np.cumsum(size) - size
+    return flat[np.repeat(start - before, size) + np.arange(size.sum())]
 
 
 class WordTokens:
@@ -45,18 +73,75 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_str(file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.number, self.raw = Numbers(), []
+        spec = json.loads(file)
+        self.parts = None
+        if ascii_by_parts(spec):
+            suffix, vocab = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+            names = [re.escape(t["content"]) for t in spec.get("added_tokens", [])]
+            self.added = re.compile("|".join(names) or r"(?!)").search
+            self.parts = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
+        self.reset()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit numbers."""
+    def reset(self) -> None:
+        self.number = Numbers()
+        self.flat, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, words: list[str]) -> None:
+        """Ids of new words: of plain ones by their different parts, of the others by the tokenizer."""
+        plain = np.fromiter((self.parts is not None and w.isascii() and w.isprintable() and not self.added(w) for w in words), bool, len(words))
+        numbers, mine = Numbers(), [ASCII_PARTS.findall(w.lower()) for w in compress(words, plain.tolist())]
+        counts = np.fromiter(map(len, mine), np.int64, len(mine))
+        of_part = np.fromiter(map(numbers.__getitem__, chain.from_iterable(mine)), np.int64, int(counts.sum()))
+        flat, ends = self.part_ids(list(numbers))
+        held = np.concatenate([[0], np.cumsum((ends[1:] - ends[:-1])[of_part])])  # ids before each part
+        ours = gathered(flat, ends[:-1][of_part], np.diff(held))
+        others = [e.ids for e in self.tokenizer.encode_batch_fast(list(compress(words, (~plain).tolist())), add_special_tokens=False)]
+        sizes = np.empty(len(words), np.int64)
+        cuts = np.concatenate([[0], np.cumsum(counts)])
+        sizes[plain] = held[cuts[1:]] - held[cuts[:-1]]
+        sizes[~plain] = np.fromiter(map(len, others), np.int64, len(others))
+        start = np.empty(len(words), np.int64)
+        start[plain] = len(self.flat) + held[cuts[:-1]]
+        start[~plain] = len(self.flat) + len(ours) + np.cumsum(sizes[~plain]) - sizes[~plain]
+        self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, sizes])
+        self.flat = np.concatenate([self.flat, ours, np.array(list(chain.from_iterable(others)), np.uint32)])
+
+    def part_ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts one after the other, and where each begins, with the end of the last. Many parts
+        are one call of the tokenizer, cut where a token ends a part."""
+        flat, ends, so_far = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)], 0
+        groups = [parts[at : at + TOGETHER] for at in range(0, len(parts), TOGETHER)]
+        joined = self.parts.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False) if groups else []
+        for group, e in zip(groups, joined, strict=True):
+            ids = np.array(e.ids, np.uint32)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(group):  # a vocabulary without all single letters
+                each = [x.ids for x in self.tokenizer.encode_batch_fast(group, add_special_tokens=False)]
+                ids, cuts = np.array(list(chain.from_iterable(each)), np.uint32), np.cumsum([len(x) for x in each])
+            flat.append(ids)
+            ends.append(so_far + cuts)
+            so_far += len(ids)
+        return np.concatenate(flat), np.concatenate(ends).astype(np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text begins, with the end of the last."""
         if len(self.number) > PIECES_KEPT:
-            self.number, self.raw = Numbers(), []
-        found = [list(map(self.number.__getitem__, t.encode().split())) for t in texts]
-        new = [w.decode() for w in list(self.number)[len(self.raw) :]]
-        for at in range(0, len(new), 10_000):
-            got = self.tokenizer.encode_batch_fast(new[at : at + 10_000], add_special_tokens=False)
-            self.raw += [np.array(e.ids, "<u4").tobytes() for e in got]
-        return [b"".join(map(self.raw.__getitem__, nums)) for nums in found]
+            self.reset()
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        words = split.flatten().dictionary_encode()
+        numbers = np.fromiter(map(self.number.__getitem__, words.dictionary.to_pylist()), np.int64, len(words.dictionary))
+        if len(self.number) > len(self.size):
+            new = list(islice(self.number, len(self.size), None))
+            for at in range(0, len(new), LEARNT):
+                self.learn(new[at : at + LEARNT])
+        numbers = numbers[words.indices.to_numpy()]
+        sizes = self.size[numbers]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        flat = gathered(self.flat, self.start[numbers], sizes)
+        offsets = split.offsets.to_numpy()
+        return flat, ends[offsets - offsets[0]]
 
 
 _known: dict[int, WordTokens] = {}
@@ -79,8 +164,10 @@ def pieces(docs: DataFrame, file: str, capacity: int, ids_out: bool) -> DataFram
         tokens, part, met = loaded(shared.value), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for block in blocks(batches, "text", BLOCK_BYTES):
             rows = []
-            for doc, ids in zip(block.column("doc_id").to_pylist(), tokens.encode([t or "" for t in block.column("text").to_pylist()]), strict=True):
-                ids += end
+            text = block.column("text")
+            flat, at = tokens.encode(text.combine_chunks() if isinstance(text, pa.ChunkedArray) else text)
+            for doc, a, b in zip(block.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                ids = flat[a:b].tobytes() + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     raw = ids[at : at + 4 * capacity]
                     n = len(raw) // 4
@@ -164,7 +251,14 @@ def configurations(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> list
     return plan
 
 
-def packing_plan(hist: np.ndarray, capacity: int = CAPACITY, small: int = SMALL, groups: int = GROUPS) -> dict[str, np.ndarray]:
+def best_plan(hist: np.ndarray, capacity: int = CAPACITY, shares: tuple[float, ...] = SMALL, groups: int = GROUPS) -> dict[str, np.ndarray]:
+    """The plan with fewest sequences over these limits of small pieces. Mid-sized pieces either shape the
+    configurations or fill gaps by best fit: which is better depends on the lengths there are."""
+    plans = [packing_plan(hist, capacity, max(1, int(capacity * share)), groups) for share in shares]
+    return min(plans, key=lambda p: int(p["sequences"]))
+
+
+def packing_plan(hist: np.ndarray, capacity: int, small: int, groups: int) -> dict[str, np.ndarray]:
     """``hist[n]``: pieces of length n. Runs (length, rank, n, sequence, offset): the n pieces of that
     length from that rank on go to the n sequences from that one on, each at that offset."""
     runs: list[tuple[int, int, int, int, int]] = []
@@ -248,7 +342,7 @@ def best_fit_packing(docs: DataFrame, file: str, id_col: str = "doc_id", text_co
     hist = np.zeros(capacity + 1, np.int64)
     for length, n in counts.groupBy("length").agg(F.sum("n")).collect():  # one row per length
         hist[length] = n
-    plan = packing_plan(hist, capacity)
+    plan = best_plan(hist, capacity)
     span = capacity + 1
     # Runs in order of length, then rank: one search finds a piece's run.
     starts = np.searchsorted(plan["length"], np.arange(span))

@@ -6,12 +6,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from surveypulse.llm import packing
 from surveypulse.llm.bpe import ByteBpe, bpe_encode
 from surveypulse.llm.common import tokenizer_file
-from surveypulse.llm.packing import best_fit_packing, configurations, packing_plan
+from surveypulse.llm.packing import best_fit_packing, best_plan, configurations, packing_plan
 
 BYTES, WORDS = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("word_bpe_49k.json")
 
@@ -89,6 +91,36 @@ def test_plan(seed):
         assert all(a + k == b for (a, k), (b, _) in zip(ranks, ranks[1:], strict=False)) and (not ranks or ranks[0][0] == 0)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_no_worse_than_best_fit_decreasing(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.concatenate([rng.integers(1, 2049, 400), np.minimum(rng.geometric(1 / 300, 3000), 2048)])
+    gaps = []
+    for n in sorted(lengths.tolist(), reverse=True):
+        i = min((i for i, g in enumerate(gaps) if g >= n), key=gaps.__getitem__, default=None)
+        if i is None:
+            gaps.append(2048 - n)
+        else:
+            gaps[i] -= n
+    hist = np.bincount(lengths, minlength=2049)
+    assert best_plan(hist)["sequences"] <= len(gaps)
+
+
+def test_words_by_parts():
+    """Words by themselves, in parts and all at once have the library's ids."""
+    words = packing.WordTokens(WORDS)
+    assert words.parts is not None
+    texts = ["Don't STOP's 12a3 ''re'sx a--b%%% [UNK] </w> ~", "  x\x7f\x01y \x1cz ſt K İ é́ don\u2019t", "", None, "a\u0085b\u2003c 漢字1²", "Don't " * 3]
+    ref = library(WORDS)
+    for _ in range(2):  # learnt, then known
+        flat, at = words.encode(pa.array(texts))
+        assert [flat[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [ref.encode(t or "", add_special_tokens=False).ids for t in texts]
+    words.ends[:] = False  # as if no token marked the end of a part
+    words.reset()
+    flat, at = words.encode(pa.array(texts))
+    assert [flat[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [ref.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_configurations_are_best():
     """Halves and thirds fill sequences whole."""
     plan = configurations(np.array([50, 34, 33]), np.array([10, 7, 14]), 100)
