@@ -53,10 +53,35 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame) -> DataFrame:
     """The frame, computed once and read back from the shared folder: later reads survive lost executors."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    _held(df.sparkSession).append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _held(spark: SparkSession) -> list[str]:
+    """Paths of the written tables of this application that nobody has removed."""
+    context = spark.sparkContext
+    if not hasattr(context, "_surveypulse_tables"):
+        context._surveypulse_tables = []
+    return context._surveypulse_tables
+
+
+def forget_tables(spark: SparkSession) -> None:
+    """Leave the tables written so far to the owner of the folder: :func:`remove_tables` won't touch them."""
+    _held(spark).clear()
+
+
+def remove_tables(spark: SparkSession, needed: DataFrame) -> None:
+    """Remove the tables written since :func:`forget_tables`, but for those that ``needed`` reads. For a caller that knows that no
+    other frame is still to be computed from them, such as a pipeline between its stages."""
+    held, kept = _held(spark), needed.inputFiles()
+    jvm = spark._jvm
+    for path in [p for p in held if not any(p.rsplit("/", 1)[1] in f for f in kept)]:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        held.remove(path)
+
+
 def squeeze(data: bytes, level: int = 3) -> bytes:
     return zstandard.ZstdCompressor(level=level).compress(data)
 

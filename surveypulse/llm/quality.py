@@ -14,9 +14,8 @@ each statistic (``SLACK``), since most are zero in most documents; it also says
 may lie off in a group where it never varies.
 
 Edge cases: null or blank text has zero words and fails. Null language or source count as ''. Groups
-of fewer than ``LEAST`` documents that pass the base rules get no outlier verdict in the query, as its
-SQL says; the pipeline judges them by their language's estimate, of languages as small by that of all
-documents. Very long lines and texts are treated whole. Repeated rows count each time. Other columns pass through.
+of fewer than ``LEAST`` documents that pass the base rules are judged by their language's estimate, those
+of languages as small by that of all documents, so every document has a verdict. Very long lines and texts are treated whole. Repeated rows count each time. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -95,8 +94,22 @@ def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
 # SQL that Spark and the checking engine both run; {f} holds lang, source, x1..x5, {s} the estimates.
 
 def vectors(source: str) -> str:
+    """Each vector in three groups: its language and source, its language, and all. A name has ``=`` before
+    it, so that a wider group, named '' there, is no group of documents without a name."""
     xs = ", ".join(f"{VECTOR[i]} AS x{i}" for i in P)
-    return f"SELECT {GROUP}, {xs} FROM {source} WHERE NOT {FAILED}"
+    names = ("'=' || lang AS lang, '=' || source AS source", "'=' || lang AS lang, '' AS source", "'' AS lang, '' AS source")
+    return " UNION ALL ".join(f"SELECT {n}, {xs} FROM {source} WHERE NOT {FAILED}" for n in names)
+
+
+def chosen() -> str:
+    """The estimate for each language and source: its own, or its language's, or that of all documents,
+    whichever is the first with enough rows; the last counts whatever its size. {s} holds all estimates."""
+    enough = f"size >= {SHARE} * {LEAST}"
+    pick = lambda c: f"CASE WHEN a.{enough} THEN a.{c} WHEN b.{enough} THEN b.{c} ELSE w.{c} END AS {c}"
+    columns = [f"m{i}" for i in P] + [f"l{i}{j}" for i in P for j in range(1, i + 1)]
+    return (f"SELECT substr(a.lang, 2) AS lang, substr(a.source, 2) AS source, {', '.join(map(pick, columns))} "
+            "FROM (SELECT * FROM {s} WHERE source <> '') a JOIN (SELECT * FROM {s} WHERE lang <> '' AND source = '') b ON b.lang = a.lang "
+            "JOIN (SELECT * FROM {s} WHERE lang = '') w ON w.lang = b.source")
 
 
 def quantile(bins: str, share: float) -> str:
@@ -133,8 +146,8 @@ def start() -> str:
 
 
 def distances(rows: str = "{f}") -> str:
-    """Each row with its squared distance d2 and its group's number of rows in the estimate."""
-    sql = f"SELECT f.*, s.size, {', '.join(f's.m{i}' for i in P)}, {', '.join(f's.l{i}{j}' for i in P for j in range(1, i + 1))} FROM {rows} f {{how}}JOIN {{s}} s ON f.lang = s.lang AND f.source = s.source"
+    """Each row with its squared distance d2 from its group's estimate."""
+    sql = f"SELECT f.*, {', '.join(f's.m{i}' for i in P)}, {', '.join(f's.l{i}{j}' for i in P for j in range(1, i + 1))} FROM {rows} f {{how}}JOIN {{s}} s ON f.lang = s.lang AND f.source = s.source"
     for i in P:
         less = "".join(f" - l{i}{j} * y{j}" for j in range(1, i))
         sql = f"SELECT *, (x{i} - m{i}{less}) / l{i}{i} AS y{i} FROM ({sql}) a"
@@ -163,8 +176,7 @@ def estimate() -> str:
     return f"SELECT {GROUP}, size, {', '.join(f'm{i}' for i in P)}, {', '.join(f'l{i}{j}' for i in P for j in range(1, i + 1))} FROM ({sql}) r"
 
 
-#: ``size`` counts the nearest 75 %.
-VERDICT = f"NOT {FAILED} AND NOT (size >= {SHARE} * {LEAST} AND d2 > {CUT})"
+VERDICT = f"NOT {FAILED} AND d2 <= {CUT}"
 
 
 def sized(groups: DataFrame) -> DataFrame:
@@ -173,7 +185,7 @@ def sized(groups: DataFrame) -> DataFrame:
 
 
 def estimated(spark, rows: DataFrame) -> DataFrame:
-    """The estimates of all groups of ``rows`` (lang, source, and the counts)."""
+    """The estimate for each language and source of ``rows`` (lang, source, and the counts)."""
     rows.createOrReplaceTempView(view := f"quality_rows_{id(rows)}")
     f = spark.sql(vectors(view))
     spark.catalog.dropTempView(view)
@@ -183,21 +195,18 @@ def estimated(spark, rows: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         c = sized(written(spark.sql(nearest(), f=f, s=s)))
         s = sized(written(spark.sql(estimate(), f=f, s=s, c=c)))
-    return s
+    return sized(written(spark.sql(chosen(), s=s)))
 
 
-def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: tuple[str, ...] = ("doc_id",), pooled: bool = False) -> DataFrame:
+def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of ``docs`` with n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed and kept in a struct ``_q``. With ``pooled``, documents of groups too
-    small for a verdict get that of their language, or else of all documents."""
+    n_repeat_words, base_failed and kept in a struct ``_q``."""
     spark = docs.sparkSession
     group = F.struct(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"))))
     rows = measured(docs, text_col).select(*keep, group.alias("_g"), "_q")
     rows = written(rows)
     flat = rows.select("_g.*", "_q.*")
     s = estimated(spark, flat)
-    if pooled:
-        s = filled(spark, flat, s)
     mine = rows.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)), "_g.*", "_q.*", *(F.expr(VECTOR[i]).alias(f"x{i}") for i in P))
     mine = mine.where("n_words >= 0")
     out = spark.sql(distances().format(f="{f}", s="{s}", how="LEFT "), f=mine, s=s)
@@ -208,22 +217,6 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     return out.select(*(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), verdict.alias("_q"))
 
 
-def filled(spark, rows: DataFrame, s: DataFrame) -> DataFrame:
-    """The estimates ``s``, those of too small groups replaced by their language's, of too small
-    languages by the one of all ``rows``, which counts whatever its size."""
-    judged = F.col("size") >= SHARE * LEAST
-    small = written(s.where(~judged).select("lang", "source"))
-    if small.isEmpty():
-        return s
-    nothing = F.lit("")
-    langs = written(estimated(spark, rows.withColumn("source", nothing)).where(judged).drop("source"))
-    whole = estimated(spark, rows.withColumn("lang", nothing).withColumn("source", nothing)).drop("lang", "source")
-    whole = whole.withColumn("size", F.greatest("size", F.lit(LEAST).cast("long")))
-    by_lang = small.join(F.broadcast(langs) if langs.count() <= GROUPS_SENT else langs, "lang")
-    rest = small.join(langs.select("lang"), "lang", "left_anti").crossJoin(F.broadcast(whole))  # one row
-    return sized(written(s.where(judged).unionByName(by_lang).unionByName(rest)))
-
-
 def oracle() -> str:
     """The whole operator for the checking engine, its counts taken its own way."""
     steps = {
@@ -246,7 +239,8 @@ def oracle() -> str:
         steps[f"c{k}"] = nearest().format(f="f", s=f"s{k}")
         steps[f"s{k + 1}"] = estimate().format(f="f", s=f"s{k}", c=f"c{k}")
     xs = ", ".join(f"{VECTOR[i]} AS x{i}" for i in P)
-    steps["o"] = distances().format(f=f"(SELECT *, {xs} FROM b)", s=f"s{STEPS}", how="LEFT ")
+    steps["e"] = chosen().format(s=f"s{STEPS}")
+    steps["o"] = distances().format(f=f"(SELECT *, {xs} FROM b)", s="e", how="LEFT ")
     ctes = ", ".join(f"{k} AS MATERIALIZED ({v})" for k, v in steps.items())
     return (f"WITH {ctes} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {FAILED} AS base_failed, "
             f"coalesce({VERDICT}, NOT {FAILED}) AS kept FROM o")

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from surveypulse.llm.minhash import shingles
@@ -76,3 +77,18 @@ def test_no_documents(spark, nothing):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "")
         assert docs.count() == 0
+
+
+def test_columns_of_any_name(spark, stored, tmp_path):
+    """Names that operators use themselves, on columns of the caller."""
+    clash = {"_q": "key", "_g": "part", "_text_hash": "key", "_n_words": "part", "_kept_id": "key", "others": "key", "x.y": "part"}
+    docs = stored.select("*", *[F.col(of).alias(name) for name, of in clash.items()])
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        plain = stage(spark, stored, "").select("doc_id", "text")
+        want = Counter(map(tuple, plain.collect()))
+        path = str(tmp_path / f"stage{i}")
+        stage(spark, docs, "").write.parquet(path)
+        got = spark.read.parquet(path)
+        assert got.columns == docs.columns
+        assert Counter(map(tuple, got.select("doc_id", "text").collect())) == want
+        assert got.where("NOT (_q <=> key) OR NOT (_n_words <=> part) OR NOT (`x.y` <=> part)").isEmpty()
