@@ -83,7 +83,7 @@ def test_columns_of_any_name(spark, stored, tmp_path):
     """Names that operators use themselves, on columns of the caller."""
     clash = {"_q": "key", "_g": "part", "_text_hash": "key", "_n_words": "part", "_kept_id": "key", "others": "key", "x.y": "part"}
     docs = stored.select("*", *[F.col(of).alias(name) for name, of in clash.items()])
-    for i, (_, stage) in enumerate(STAGES[:-1]):
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
         plain = stage(spark, stored, "").select("doc_id", "text")
         want = Counter(map(tuple, plain.collect()))
         path = str(tmp_path / f"stage{i}")
