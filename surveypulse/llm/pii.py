@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -102,10 +103,13 @@ def more_spans(text: str, taken: list[tuple[int, str, int]]) -> list[tuple[int,
     """Proposals that reach ``ACCEPT`` and touch nothing taken."""
     if not DIGIT.search(text):
         return []
-    used, out = [(a, b) for a, _, b in taken], []
+    starts, ends = merged([(a, b) for a, _, b in taken])
+    out: list[tuple[int, str, int]] = []
     for kind, pattern, score, check, good, bad in PROPOSALS:
+        mine = len(out)  # a kind's own matches don't overlap
         for m in pattern.finditer(text):
-            if any(a < m.end() and m.start() < b for a, b in used[-64:] + used[:-64]):
+            at = bisect_left(starts, m.end())
+            if at and ends[at - 1] > m.start():
                 continue
             value = score
             if check:
@@ -116,10 +120,23 @@ def more_spans(text: str, taken: list[tuple[int, str, int]]) -> list[tuple[int,
             value += 0.4 * bool(near & set(good.split())) - 0.4 * bool(near & set(bad.split()))
             if value >= ACCEPT:
                 out.append((m.start(), kind, m.end()))
-                used.append((m.start(), m.end()))
+        if len(out) > mine:
+            starts, ends = merged([*zip(starts, ends, strict=True), *((a, b) for a, _, b in out[mine:])])
     return out
 
 
+def merged(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the spans cover, ascending; spans that only touch stay apart."""
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def listed(spans: list[tuple[int, str, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, k, b in spans)
 

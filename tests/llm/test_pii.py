@@ -51,6 +51,20 @@ def test_linear_on_long_runs():
     assert time.time() - start < 20
 
 
+def test_many_spans_in_one_text():
+    """Proposals among many taken spans: none touches one, none is lost, and the time grows with the text."""
+    one = "call +1 202 555 0143 now, token a1b2c3d4e5f6a7b8c9d0e1f2a3b4c5d6e7f8, iban DE89370400440532013000. "
+    few, many = one * 5, one * 4000
+    base = base_spans(many)
+    start = time.perf_counter()
+    found = more_spans(many, base)
+    assert time.perf_counter() - start < 20
+    assert len(found) == 800 * len(more_spans(few, base_spans(few))) > 0
+    used = sorted((a, b) for a, _, b in [*base, *found])
+    by_kind = sorted((a, b) for a, _, b in found)
+    assert all(not (a < d and c < b) for (a, b), (c, d) in zip(by_kind, by_kind[1:], strict=False)) and len(used) == len(base) + len(found)
+
+
 def test_redaction():
     text = "é me@a.bc 1.2.3.4 end"
     assert redacted(text, base_spans(text)) == "é <email> <ip> end"
