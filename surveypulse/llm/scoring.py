@@ -1,14 +1,20 @@
 """LM scoring (10): a log-bilinear model by noise-contrastive estimation, and unigram base scores.
 
 Words are counted exactly over all training documents: chunks send their different words, once each
-with a count, to the words' buckets. The ``VOCABULARY`` most frequent words, an end sign (which also
-stands before a text's first word) and one sign for all rarer words are the model's symbols. A symbol
-w after c has the score q_c . r_w + b_w. The counts of symbol pairs over all training documents, at
-most (VOCABULARY + 2)^2 numbers whatever the corpus, are all that training needs; it runs in numpy
-with matrix products. The model learns to tell each pair from ``NOISE`` times as many with the second
-symbol drawn by frequency; the noise enters by its expectation. Scores are then normalised over all
-symbols. A rarer word has the probability of their sign times its own smoothed share among them, so
-the probabilities of all words, with one place for the unseen, sum to one.
+with a count, to the words' buckets. The model's symbols are an end sign (which also stands before a
+text's first word), every word with ``LEAST`` training tokens that make up one in ``SHARE`` of all or
+more, and one sign for the rarer ones; so there are at most ``SHARE`` of them, however large the corpus
+is. A symbol w after c has the score q_c . r_w + b_w.
+
+All that training needs are the counts of the different symbol pairs over all training documents.
+They are merged in tasks, dealt by context and, a second time, by target. The model learns to tell each
+pair from ``NOISE`` times as many with the second symbol drawn by frequency. For fixed r and b that is
+a concave problem for each q_c alone, and for fixed q for each (r_w, b_w) alone: each half of a sweep is
+one Spark job that takes Newton steps for its rows. Noise is drawn in equal steps of cumulative
+frequency, shared by the rows of a job, so it enters by matrix products. Scores are then normalised over
+all symbols, block by block in tasks; as they have one context each, a normaliser belongs to a context.
+A rarer word has the probability of their sign times its own smoothed share among them, so the
+probabilities of all words, with one place for the unseen, sum to one.
 
 Edge cases: null, blank and empty texts have one token, the end. A null doc_id counts as the empty
 text for the split and is for training. Without training documents each symbol is equally likely.
@@ -17,9 +23,9 @@ Repeated rows count each time. Of very long texts every token is scored.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
-from heapq import nsmallest
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +38,14 @@ from surveypulse.llm.common import expand, from_ipc, from_planes, planes, squeez
 from surveypulse.llm.exchange import ask_and_answer, bucket_count, questions
 from surveypulse.llm.minhash import LOWER
 
-VOCABULARY, SIZE, NOISE, STEPS = 1022, 32, 8, 200
+LEAST, SHARE = 5, 1 << 17
+SIZE, NOISE, DRAWN, SWEEPS, RIDGE = 32, 8, 256, 5, 2.0
 FOLDS, HELD = 7, 2
 RARE, END = 0, 1
 #: What no word can be: it stands for the end of a text among the words.
 END_WORD = b"\n"
+#: Pairs that a task holds before it sends them.
+HELD_PAIRS = 4 << 20
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -107,27 +116,32 @@ def answer(asked: list[bytes]) -> list[bytes]:
     return [squeeze(planes(np.fromiter(map(total.__getitem__, words), np.int64, len(words)))) for words in lists]
 
 
-def vocabulary(sent: DataFrame, most: int) -> tuple[int, int, list[tuple[bytes, int]], int]:
-    """Training tokens, different ones, the most frequent words with counts, and the ends."""
+def name(word: bytes) -> bytes:
+    """Of bounded length: long words by their digest."""
+    return word if len(word) <= 16 else hashlib.blake2b(word, digest_size=17).digest()
+
+
+def vocabulary(sent: DataFrame, least: int, share: int) -> tuple[int, int, list[tuple[bytes, int]], int]:
+    """Training tokens, different ones, names and counts of the words that are symbols, and the ends."""
     def count(group: pa.Table) -> pa.Table:
         _, total = summed(group.column("body").to_pylist())
         ends = total.pop(END_WORD, 0)
-        seen = [(w, c) for w, c in total.items() if c]
-        top = nsmallest(most, seen, key=lambda x: (-x[1], x[0]))
+        seen = [c for c in total.values() if c]
+        top = [(name(w), c) for w, c in total.items() if c >= least]
         return pa.table({
             "word": pa.array([None, *(w for w, _ in top)], pa.binary()), "n": pa.array([ends, *(c for _, c in top)], pa.int64()),
-            "all_": pa.array([sum(c for _, c in seen)] + [0] * len(top), pa.int64()), "words": pa.array([len(seen)] + [0] * len(top), pa.int64()),
+            "all_": pa.array([sum(seen)] + [0] * len(top), pa.int64()), "words": pa.array([len(seen)] + [0] * len(top), pa.int64()),
         })
 
     parts = written(sent.where("key >= 0").groupBy("key").applyInArrow(count, "word binary, n long, all_ long, words long"))
     sums = parts.agg(F.sum("all_"), F.sum("words"), F.sum(F.when(F.col("word").isNull(), F.col("n")))).first()
     n, words, ends = (x or 0 for x in sums)
-    top = parts.where("word IS NOT NULL").orderBy(F.desc("n"), "word").limit(most).collect()
-    return n + ends, words + (ends > 0), [(bytes(r["word"]), r["n"]) for r in top], ends
+    top = parts.where("word IS NOT NULL").where(F.col("n") * share >= n + ends).orderBy(F.desc("n"), "word")
+    return n + ends, words + (ends > 0), [(bytes(r["word"]), r["n"]) for r in top.collect()], ends  # at most ``share`` words
 
 
 def symbols(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((known.get(w, RARE) for w in words), np.int64, len(words))
+    return np.fromiter((known.get(name(w), RARE) for w in words), np.int64, len(words))
 
 
 def pairs(t: Tokens, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,74 +153,193 @@ def pairs(t: Tokens, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     return now, before
 
 
-def pair_counts(sent: DataFrame, known: dict[bytes, int], v: int) -> np.ndarray:
-    """How often each symbol (column) follows each (row) in training documents."""
-    shared = sent.sparkSession.sparkContext.broadcast(known)  # at most VOCABULARY + 2 words
+COUNTED = "block int, pairs binary, n binary"
+
+
+def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different codes in order, with the sums of their counts."""
+    found, which = np.unique(np.concatenate(codes), return_inverse=True)
+    return found, np.bincount(which, np.concatenate(counts), len(found)).astype(np.int64)
+
+
+def packed(blocks: int, v: int, codes: np.ndarray, counts: np.ndarray):
+    """Rows of ``COUNTED``: codes (row * v + column, in order) by block of row, as differences."""
+    if not len(codes):
+        return
+    block = codes // v % blocks
+    order = np.argsort(block, kind="stable")
+    found, begin = np.unique(block[order], return_index=True)
+    for k, at in zip(found.tolist(), np.split(order, begin[1:]), strict=True):
+        body = [squeeze(planes(np.diff(codes[at], prepend=0))), squeeze(planes(counts[at]))]
+        yield pa.RecordBatch.from_pydict({"block": pa.array([k], pa.int32()), "pairs": body[:1], "n": body[1:]})
+
+
+def unpacked(pairs_: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
+    codes, counts = expand(pairs_), expand(n)
+    return np.cumsum(from_planes(codes, np.int64, len(codes) // 8)), from_planes(counts, np.int64, len(counts) // 8)
+
+
+def pair_counts(sent: DataFrame, known: dict[bytes, int], v: int, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """How often symbols follow symbols in training documents, as ``COUNTED`` with the first symbol as
+    row, and with the second."""
+    shared = sent.sparkSession.sparkContext.broadcast(known)  # at most ``SHARE`` + 1 names
 
     def count(batches):
-        total = np.zeros(v * v, np.int64)
+        codes, counts, held = [], [], 0
         for batch in batches:
             for body in batch.column("body").to_pylist():
                 t = Tokens(from_ipc(body))
                 now, before = pairs(t, shared.value)
                 use = ~t.held[t.doc]
-                total += np.bincount(before[use] * v + now[use], minlength=v * v)
-        for i, row in enumerate(total.reshape(v, v)):
-            if row.any():
-                yield pa.RecordBatch.from_pydict({"i": pa.array([i], pa.int32()), "row": [squeeze(planes(row))]})
+                code, n = np.unique(before[use] * v + now[use], return_counts=True)
+                codes.append(code)
+                counts.append(n)
+                held += len(code)
+            if held > HELD_PAIRS:
+                code, n = merged(codes, counts)
+                codes, counts, held = [code], [n], len(code)
+                if held > HELD_PAIRS // 2:
+                    yield from packed(blocks, v, code, n)
+                    codes, counts, held = [], [], 0
+        if codes:
+            yield from packed(blocks, v, *merged(codes, counts))
 
     def add(group: pa.Table) -> pa.Table:
-        row = sum(from_planes(expand(b), np.int64, v) for b in group.column("row").to_pylist())
-        return pa.table({"i": group.column("i")[:1], "row": [squeeze(planes(row))]})
+        found = [unpacked(p, n) for p, n in zip(group.column("pairs").to_pylist(), group.column("n").to_pylist(), strict=True)]
+        code, n = merged([c for c, _ in found], [n for _, n in found])
+        return pa.Table.from_batches(packed(blocks, v, code, n))
 
-    out = np.zeros((v, v), np.int64)
-    rows = sent.where("key < 0").select("body").mapInArrow(count, "i int, row binary").groupBy("i").applyInArrow(add, "i int, row binary")
-    for r in rows.collect():  # at most v rows
-        out[r["i"]] = from_planes(expand(r["row"]), np.int64, v)
+    def turned(batches):
+        for batch in batches:
+            for p, n in zip(batch.column("pairs").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                code, counts = unpacked(p, n)
+                yield from packed(blocks, v, *merged([code % v * v + code // v], [counts]))
+
+    by_context = written(sent.where("key < 0").select("body").mapInArrow(count, COUNTED).repartition(blocks, "block").groupBy("block").applyInArrow(add, COUNTED))
+    return by_context, written(by_context.mapInArrow(turned, COUNTED).repartition(blocks, "block").groupBy("block").applyInArrow(add, COUNTED))
+
+
+def drawn(share: np.ndarray, most: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """``most`` symbols in equal steps of cumulative share, as different symbols with their weights."""
+    total = np.cumsum(share / share.sum())
+    at = (np.arange(most) + np.random.default_rng(seed).random()) / most
+    found, times = np.unique(np.minimum(np.searchsorted(total, at, "right"), len(share) - 1), return_counts=True)
+    return found, times / most
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+
+
+def improved(column: np.ndarray, n: np.ndarray, begin: np.ndarray, x: np.ndarray, feature: np.ndarray, offset: np.ndarray,
+             own: np.ndarray, fakes: np.ndarray, noise: tuple[np.ndarray, np.ndarray], ridge: float = RIDGE, steps: int = 1) -> np.ndarray:
+    """Newton steps for the vectors ``x`` of rows, whose pairs (``column``, ``n``) lie between ``begin``s.
+    A pair's logit is x . feature + offset of its column + ``own`` of its row; ``fakes``: noise pairs of a row."""
+    size = feature.shape[1]
+    drawn_, weight = noise
+    noisy = feature[drawn_]
+    squares = (noisy[:, :, None] * noisy[:, None, :]).reshape(len(drawn_), -1)
+    x = x.astype(np.float64)
+    for _ in range(steps):
+        s = sigmoid(x @ noisy.T + offset[drawn_] + own[:, None])
+        pull = -(s * weight * fakes[:, None]) @ noisy - ridge * x
+        bend = ((s * (1 - s) * weight * fakes[:, None]) @ squares).reshape(-1, size, size) + ridge * np.eye(size)
+        for i, (a, b) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)):
+            f = feature[column[a:b]]
+            t = sigmoid(f @ x[i] + offset[column[a:b]] + own[i])
+            pull[i] += (n[a:b] * (1 - t)) @ f
+            bend[i] += (f * (n[a:b] * t * (1 - t))[:, None]).T @ f
+        step = np.linalg.solve(bend, pull[:, :, None])[:, :, 0]
+        x += step / np.maximum(1, np.linalg.norm(step, axis=1) / 2)[:, None]
+    return x
+
+
+def half(table: DataFrame, v: int, x: np.ndarray, feature: np.ndarray, offset: np.ndarray, own: np.ndarray, fakes: np.ndarray, noise) -> np.ndarray:
+    """``x`` after Newton steps for all its rows that have pairs in ``table``, each block in a task."""
+    shared = table.sparkSession.sparkContext.broadcast((x, feature, offset, own, fakes, noise))  # v vectors each
+
+    def run(batches):
+        x_, feature_, offset_, own_, fakes_, noise_ = shared.value
+        for batch in batches:
+            for p, n in zip(batch.column("pairs").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                code, counts = unpacked(p, n)
+                row, begin = np.unique(code // v, return_index=True)
+                begin = np.append(begin, len(code))
+                for k in range(0, len(row), 256):
+                    at, edge = row[k : k + 256], begin[k : k + 257]
+                    inside = slice(edge[0], edge[-1])
+                    got = improved(code[inside] % v, counts[inside], edge - edge[0], x_[at], feature_, offset_, own_[at], fakes_[at], noise_)
+                    yield pa.RecordBatch.from_pydict({"at": [at.tobytes()], "x": [got.astype(np.float32).tobytes()]})
+
+    out = x.copy()
+    for r in table.mapInArrow(run, "at binary, x binary").collect():  # v vectors in all
+        out[np.frombuffer(r["at"], np.int64)] = np.frombuffer(r["x"], np.float32).reshape(-1, x.shape[1])
+    shared.unpersist()
     return out
 
 
-def train(counts: np.ndarray, size: int = SIZE, noise: int = NOISE, steps: int = STEPS, rate: float = 0.05, seed: int = 11) -> np.ndarray:
-    """log10 of the normalised probability of each symbol (column) after each (row)."""
-    v, total = len(counts), counts.sum()
-    if not total:
-        return np.full((v, v), -np.log10(v))
-    n = (counts / total).astype(np.float32)
-    share = counts.sum(0) + 1.0
-    log_noise = np.log(noise * share / share.sum()).astype(np.float32)
-    fake = n.sum(1)[:, None] * np.exp(log_noise)[None, :]
-    rng = np.random.default_rng(seed)
-    params = [rng.normal(0, 0.1, (v, size)).astype(np.float32), rng.normal(0, 0.1, (v, size)).astype(np.float32), np.log(share / share.sum()).astype(np.float32)]
-    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    for step in range(1, steps + 1):
-        q, r, b = params
-        true = 1 / (1 + np.exp(log_noise - (q @ r.T + b)))  # that the pair is a real one
-        pull = n * (1 - true) - fake * true
-        grads = (pull @ r - 1e-6 * q, pull.T @ q - 1e-6 * r, pull.sum(0))
-        for p, g, m1, m2 in zip(params, grads, first, second, strict=True):
-            m1 += 0.1 * (g - m1)
-            m2 += 0.01 * (g * g - m2)
-            p += rate * (1 - step / (steps + 1)) * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
-    q, r, b = (p.astype(np.float64) for p in params)
-    score = q @ r.T + b
-    top = score.max(1, keepdims=True)
-    return (score - top - np.log(np.exp(score - top).sum(1, keepdims=True))) / np.log(10)
-
-
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = VOCABULARY, steps: int = STEPS, bucket_bytes: int = 16 << 20) -> DataFrame:
+def train(by_context: DataFrame, by_target: DataFrame, count: np.ndarray, size: int = SIZE, noise: int = NOISE, sweeps: int = SWEEPS, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """(q, r and b side by side): vectors of all symbols, ``count`` of them in training, as context and as target."""
+    v = len(count)
+    share = (count + 1.0) / (count.sum() + v)
+    log_noise = np.log(noise * share)
+    q = np.zeros((v, size), np.float32)
+    r = np.random.default_rng(seed).normal(0, 0.3, (v, size + 1)).astype(np.float32) * (count > 0)[:, None]
+    r[:, size] = np.log(share)
+    nothing, one = np.zeros(v), np.ones((v, 1), np.float32)
+    for sweep in range(sweeps if count.any() else 0):
+        q = half(by_context, v, q, r[:, :size], r[:, size] - log_noise, nothing, noise * count, drawn(share, DRAWN, 2 * sweep))
+        r = half(by_target, v, r, np.hstack([q, one]), nothing, -log_noise, noise * share * count.sum(), drawn(count, DRAWN, 2 * sweep + 1))
+    return q, r
+
+
+def log_sums(spark, q: np.ndarray, r: np.ndarray, wide: int = 1024) -> np.ndarray:
+    """Of each context, the logarithm of the sum of exp(score) over all symbols."""
+    v = len(q)
+    shared = spark.sparkContext.broadcast((q, r))
+
+    def run(batches):
+        q_, r_ = shared.value
+        bias = r_[:, -1].astype(np.float64)
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                mine = q_[k * wide : (k + 1) * wide].astype(np.float64)
+                total = np.full(len(mine), -np.inf)
+                for a in range(0, v, wide):
+                    score = mine @ r_[a : a + wide, :-1].T + bias[a : a + wide]
+                    top = score.max(1)
+                    total = np.logaddexp(total, top + np.log(np.exp(score - top[:, None]).sum(1)))
+                yield pa.RecordBatch.from_pydict({"id": pa.array([k], pa.int64()), "z": [total.tobytes()]})
+
+    blocks = -(-v // wide)
+    rows = spark.range(0, blocks, 1, min(blocks, 4096)).mapInArrow(run, "id long, z binary").collect()  # v numbers
+    shared.unpersist()
+    return np.concatenate([np.frombuffer(x["z"]) for x in sorted(rows, key=lambda x: x["id"])])
+
+
+def log_probabilities(before: np.ndarray, now: np.ndarray, q: np.ndarray, r: np.ndarray, z: np.ndarray, wide: int = 1 << 15) -> np.ndarray:
+    """log10 of the normalised probability of each ``now`` after its ``before``."""
+    out = np.empty(len(now))
+    for a in range(0, len(now), wide):
+        i, j = before[a : a + wide], now[a : a + wide]
+        out[a : a + wide] = np.einsum("ij,ij->i", q[i].astype(np.float64), r[j, :-1]) + r[j, -1] - z[i]
+    return out / np.log(10)
+
+
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, share: int = SHARE, sweeps: int = SWEEPS, bucket_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, one row per document."""
     spark = docs.sparkSession
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     buckets = bucket_count(docs, text_col, bucket_bytes)
     sent = written(questions(picked, "text", asking(buckets)))
-    n, kinds, top, ends = vocabulary(sent, most)
+    n, kinds, top, ends = vocabulary(sent, least, share)
     known = {END_WORD: END} | {w: i + 2 for i, (w, _) in enumerate(top)}
-    v = len(known) + 1
-    table = train(pair_counts(sent, known, v), steps=steps)
     rare = n - ends - sum(c for _, c in top)
+    counts = np.array([rare, ends, *(c for _, c in top)], np.int64)
+    q, r = train(*pair_counts(sent, known, len(counts), max(buckets, 24)), counts, sweeps=sweeps)
     rare_base = np.log10(rare + max(0, kinds - (ends > 0) - len(top)) + 1)
     base = np.log10(n + kinds + 1)
-    shared = spark.sparkContext.broadcast((known, table))  # at most (VOCABULARY + 2)^2 numbers
+    shared = spark.sparkContext.broadcast((known, q, r, log_sums(spark, q, r)))  # of ``SHARE`` + 2 symbols at most
 
     def finish(chunk, answers):
         t = Tokens(chunk)
@@ -214,11 +347,11 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
         count = np.zeros(len(t.words), np.int64)
         for bucket, a, b in zip(found, begin[:-1].tolist(), begin[1:].tolist(), strict=True):
             count[order[a:b]] = from_planes(expand(answers[bucket]), np.int64, b - a)
-        known_, table_ = shared.value
+        known_, q_, r_, z = shared.value
         now, before = pairs(t, known_)
         own = np.log10(count + 1.0)[t.number]
         add = lambda x: np.add.reduceat(x, t.start)
-        score = table_[before, now] + np.where(now == RARE, own - rare_base, 0)
+        score = log_probabilities(before, now, q_, r_, z) + np.where(now == RARE, own - rare_base, 0)
         return pa.table({
             "doc_id": chunk.column("doc_id"), "held_out": t.held, "n_tokens": t.n,
             "n_known": add((count > 0)[t.number].astype(np.int64)), "train_tokens": np.full(len(t.n), n),
