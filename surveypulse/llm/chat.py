@@ -7,18 +7,19 @@ as one space) and hashed. A quoted passage's original is the first message of th
 has the passage in its own text, if it came earlier. A message replies to the original of its least
 nested linked passage, of several the latest. Linked passages are taken out of the message, with the
 line that introduces them; a passage without an original stays where it is, marks included. Messages linked by replies form a thread, named by the
-turn of its first message; messages without links form the conversation's main thread. Threads are
-written in order of turns, so each reply follows what it quotes, in segments of ``TURNS`` turn
-numbers, each message between role marks. A segment of more than ``MOST`` different messages is cut
-into parts, consecutive stretches of ``MOST`` messages in the order of turn, role and text.
-
-Nothing is grouped by conversation alone: passages are joined by conversation and hash, originals
-are one row each, replies are followed by joining pointers to pointers, and a part is bounded; ranks
-in a large segment come from counts of ranges of its messages.
-
-Edge cases: null text is an empty message; null roles are written "unknown"; null turns form a
-segment of their own; messages of a null conversation have no links. The same message (all four
-values) on several rows counts once.
+key and the turn of its first message; messages without links form the conversation's main thread. A
+thread's messages stand in the order of turn, role and text, so each reply follows what it quotes,
+each between role marks. Of each thread, row ``part`` holds the next ``MOST`` messages of that order.
+
+A message is known by its key, a digest of its conversation, turn, role and text; turns only give the
+order, and may be repeated. Where several messages of one turn have a passage, the one with the
+smallest key is the original. Nothing is grouped by conversation alone: passages are joined by
+conversation and hash, originals are one row each, replies are followed by joining pointers to pointers,
+and a part is bounded; ranks in a thread of several parts come from counts of ranges of its messages.
+
+Edge cases: null text is an empty message; null roles are written "unknown"; messages with a null turn
+have no links and come first in the main thread; messages of a null conversation have no links. The
+same message (all four values) on several rows counts once; null and empty text are the same.
 """
 
 from __future__ import annotations
@@ -33,9 +34,18 @@ from pyspark.sql import functions as F
 
 from surveypulse.llm.common import ship, written
 
-TURNS, MOST = 64, 256
+MOST = 256
 MARK = re.compile(r"^(?:[ \t]*>)+[ \t]?")
-INTRODUCES = re.compile(r"^.{0,300}\bwrote:\s*$", re.IGNORECASE)
+
+
+def introduces(line: str) -> bool:
+    end = line.rstrip()
+    return end[-6:].lower() == "wrote:" and not re.match(r"\w", end[-7:-6])
+
+
+def message_key(conv_id: int | None, turn: int | None, role: str, text: str | None) -> bytes:
+    head = f"{conv_id}:{turn}:{len(role)}:{role}:".encode()
+    return hashlib.blake2b(head + (text or "").encode(), digest_size=16).digest()
 
 
 def normalised(text: str) -> str:
@@ -53,7 +63,7 @@ def runs(text: str | None) -> tuple[list[tuple[int, str, str]], list[bool], list
     for line in (text or "").split("\n"):
         m = MARK.match(line)
         lines.append((m[0].count(">"), line[m.end() :], line) if m else (0, line, line))
-    keep = [not (k + 1 < len(lines) and lines[k + 1][0] > level and INTRODUCES.match(line)) for k, (level, line, _) in enumerate(lines)]
+    keep = [not (k + 1 < len(lines) and lines[k + 1][0] > level and introduces(line)) for k, (level, line, _) in enumerate(lines)]
     found: list[tuple[int, list[list[int]]]] = []
     last, after_blank = None, True
     for k, (level, line, _) in enumerate(lines):
@@ -107,7 +117,8 @@ def unquoted(text: str | None, originals: set[bytes]) -> str:
 
 
 def linked(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """conv_id, turn, role, body, n_quotes, parent_turn (null: no link), thread_turn (null: main thread)."""
+    """key, conv_id, turn, role, body, n_quotes, parent and parent_turn (null: no link), thread and
+    thread_turn (null: main thread), one row per row of ``messages``."""
     ship(messages.sparkSession)
     picked = messages.select(
         F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
@@ -118,46 +129,46 @@ def linked(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
         for batch in batches:
             got = [parse(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("conv_id", "turn", "role")), pa.array([b for b, _ in got], pa.string()),
+                [pa.array(map(message_key, *(batch.column(c).to_pylist() for c in ("conv_id", "turn", "role", "text"))), pa.binary()),
+                 *(batch.column(c) for c in ("conv_id", "turn", "role")), pa.array([b for b, _ in got], pa.string()),
                  pa.array([[{"level": level, "h": h} for level, h in units] for _, units in got], unit),
                  pa.array([t if any(level for level, _ in units) else None for t, (_, units) in zip(batch.column("text").to_pylist(), got, strict=True)], pa.string())],
-                ["conv_id", "turn", "role", "body", "units", "quoting"])
-
-    parsed = picked.mapInArrow(run, "conv_id long, turn long, role string, body string, units array<struct<level:int,h:binary>>, quoting string")
-    rows = written(parsed.withColumn("row", F.monotonically_increasing_id()))
-    units = rows.select("conv_id", "turn", "row", F.explode("units").alias("u")).select("conv_id", "turn", "row", "u.level", "u.h")
-    first = units.where("level = 0").groupBy("conv_id", "h").agg(F.min("turn").alias("original"))
-    quotes = written(units.where("level > 0").join(first, ["conv_id", "h"]).where("original < turn"))
-    best = quotes.groupBy("conv_id", "turn").agg(F.min(F.struct("level", (-F.col("original")).alias("o"))).alias("m"))
-    links = written(best.select("conv_id", "turn", (-F.col("m.o")).alias("parent_turn")))
-    roots = links.select("conv_id", "turn", F.col("parent_turn").alias("top"))
+                ["key", "conv_id", "turn", "role", "body", "units", "quoting"])
+
+    rows = written(picked.mapInArrow(run, "key binary, conv_id long, turn long, role string, body string, units array<struct<level:int,h:binary>>, quoting string"))
+    units = rows.select("conv_id", "turn", "key", F.explode("units").alias("u")).select("conv_id", "turn", "key", "u.level", "u.h")
+    first = units.where("level = 0 AND turn IS NOT NULL").groupBy("conv_id", "h").agg(F.min(F.struct("turn", "key")).alias("original"))
+    quotes = written(units.where("level > 0").distinct().join(first, ["conv_id", "h"]).where("original.turn < turn"))
+    best = quotes.groupBy("key").agg(F.min(F.struct("level", (-F.col("original.turn")).alias("o"), F.col("original.key").alias("parent"))).alias("m"))
+    links = written(best.select("key", F.col("m.parent").alias("parent"), (-F.col("m.o")).alias("parent_turn")))
+    roots = links.select("key", F.col("parent").alias("top"), F.col("parent_turn").alias("top_turn"))
     while True:  # each pass follows twice as many replies
-        up = roots.select("conv_id", F.col("turn").alias("top"), F.col("top").alias("higher"))
-        new = written(roots.join(up, ["conv_id", "top"], "left").select("conv_id", "turn", F.coalesce("higher", "top").alias("top"), F.col("higher").isNotNull().alias("moved")))
-        roots = new.select("conv_id", "turn", "top")
+        up = roots.select(F.col("key").alias("top"), F.col("top").alias("higher"), F.col("top_turn").alias("higher_turn"))
+        new = written(roots.join(up, "top", "left").select("key", F.coalesce("higher", "top").alias("top"), F.coalesce("higher_turn", "top_turn").alias("top_turn"), F.col("higher").isNotNull().alias("moved")))
+        roots = new.select("key", "top", "top_turn")
         if new.where("moved").isEmpty():
             break
     # Threads hold the replies and the messages at their tops.
-    threads = roots.union(roots.select("conv_id", F.col("top").alias("turn"), "top").distinct())
+    threads = roots.union(roots.select(F.col("top").alias("key"), "top", "top_turn").distinct())
     quoted = F.size(F.filter("units", lambda u: u["level"] > 0)).cast("long")
 
     def remove(batches):
         for batch in batches:
             texts, hashes = batch.column("quoting").to_pylist(), batch.column("hs").to_pylist()
-            yield pa.RecordBatch.from_pydict({"row": batch.column("row"), "own": pa.array([unquoted(t, set(h or ())) for t, h in zip(texts, hashes, strict=True)], pa.string())})
+            yield pa.RecordBatch.from_pydict({"key": batch.column("key"), "own": pa.array([unquoted(t, set(h or ())) for t, h in zip(texts, hashes, strict=True)], pa.string())})
 
-    hashes = quotes.groupBy("row").agg(F.collect_set("h").alias("hs"))
-    own = rows.where("quoting IS NOT NULL").join(hashes, "row", "left").select("row", "quoting", "hs").mapInArrow(remove, "row long, own string")
-    rows = rows.withColumn("n_quotes", quoted).join(own, "row", "left").withColumn("body", F.coalesce("own", "body"))
-    return (rows.drop("units", "quoting", "own", "row").join(links, ["conv_id", "turn"], "left")
-            .join(threads.withColumnRenamed("top", "thread_turn"), ["conv_id", "turn"], "left"))
+    hashes = quotes.groupBy("key").agg(F.collect_set("h").alias("hs"))
+    own = rows.where("quoting IS NOT NULL").select("key", "quoting").dropDuplicates(["key"]).join(hashes, "key", "left").select("key", "quoting", "hs").mapInArrow(remove, "key binary, own string")
+    rows = rows.withColumn("n_quotes", quoted).join(own, "key", "left").withColumn("body", F.coalesce("own", "body"))
+    return (rows.drop("units", "quoting", "own").join(links, "key", "left")
+            .join(threads.select("key", F.col("top").alias("thread"), F.col("top_turn").alias("thread_turn")), "key", "left"))
 
 
-def conversations(messages: DataFrame, turns: int = TURNS, most: int = MOST, **columns: str) -> DataFrame:
-    """conv_id, thread_turn, segment, part, n_messages, n_links, text: a row per segment of a thread."""
-    rows = linked(messages, **columns).withColumn("segment", F.floor(F.col("turn") / turns))
-    key, order = ["conv_id", "thread_turn", "segment"], ["turn", "role", "body", "parent_turn"]
-    rows = written(rows.select(*key, *order).dropDuplicates())
+def conversations(messages: DataFrame, most: int = MOST, **columns: str) -> DataFrame:
+    """conv_id, thread (hex; null: main), thread_turn, part, n_messages, n_links, text: a row per ``most`` messages of a thread."""
+    key, order = ["conv_id", "thread", "thread_turn"], ["turn", "role", "body", "parent_turn", "key"]
+    rows = linked(messages, **columns).withColumn("thread", F.lower(F.hex("thread")))
+    rows = written(rows.select(*key, *order).dropDuplicates(["key"]))
     split = parted(rows, key, order, most)
     text = F.concat_ws("\n", F.transform("all", lambda m: F.concat(F.lit("<|"), m["role"], F.lit("|>\n"), m["body"], F.lit("\n<|end|>"))))
     return split.groupBy(*key, "part").agg(F.sort_array(F.collect_list(F.struct(*order))).alias("all")).select(
