@@ -1,7 +1,7 @@
 """MinHash near-dedup (4): texts whose sets of word runs (shingles) are nearly the same.
 
 Each text's signature holds ``BANDS`` * ``ROWS`` minima of universal hashes of its shingles. Texts
-with the same set form a class, and only its smallest doc_id goes on. Two classes are candidates
+with the same set form a class with a number of its own, and one of its texts goes on. Two classes are candidates
 if all minima of a band agree: at the asked similarity of 0.85 a pair is missed with a probability
 of (1 - 0.85^5)^30 = 2e-8 (0.8: 6e-6).
 
@@ -19,7 +19,8 @@ similarity would be dropped with a probability below ``DROPPED`` (binomial, comp
 
 Edge cases: null, blank or empty texts have an empty set and link with nothing. A text with fewer
 words than a shingle has one shingle, all its words. Repeated rows share a class. Rows with a null
-doc_id are left out of links and are kept. A doc_id on several rows is one document for the links.
+doc_id are left out of links and are kept. A doc_id on several rows is one document for the links:
+what either of its texts is linked with, and the texts themselves, have one component.
 """
 
 from __future__ import annotations
@@ -74,23 +75,24 @@ class Family:
 
 
 def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, set_key (of the whole set), sig (minima)."""
+    """doc_id, text_key (of the text), n_shingles, set_key (of the whole set), sig (minima)."""
     def run(batches):
         family = Family(bands * rows)
         for batch in batches:
-            n, keys, sigs = [], [], []
+            n, keys, sigs, own = [], [], [], []
             for t in batch.column("text").to_pylist():
                 found = shingles(t, size)
                 n.append(len(found))
+                own.append(hashlib.md5((t or "").encode(), usedforsecurity=False).digest())
                 x = hashes(found)
                 keys.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest() if found else None)
                 sigs.append(family.minima(x).tobytes() if found else None)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n_shingles": pa.array(n, pa.int64()),
+                "doc_id": batch.column("doc_id"), "text_key": pa.array(own, pa.binary()), "n_shingles": pa.array(n, pa.int64()),
                 "set_key": pa.array(keys, pa.binary()), "sig": pa.array(sigs, pa.binary()),
             })
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sig binary")
+    return docs.mapInArrow(run, "doc_id long, text_key binary, n_shingles long, set_key binary, sig binary")
 
 
 def band_keys(bands: int = BANDS, rows: int = ROWS):
@@ -180,18 +182,28 @@ def partnered(rows: DataFrame, texts: DataFrame, size: int, similar: int) -> Dat
     return written(open_buckets(able.select("bucket", "id", "part", "n", "s")))
 
 
-def near_components(docs: DataFrame, size: int, similar: int) -> tuple[DataFrame, DataFrame]:
-    """(signatures of all rows, (node, component) of the classes that have links)."""
+def same_document(sigs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (u, v) between the classes of a doc_id's different texts."""
+    several = sigs.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y")).where("x <> y")
+    ends = sigs.join(several.select("doc_id", "x"), "doc_id").where("set_key <> x").select("set_key", "x").distinct()
+    of = classes.select("set_key", F.col("id").alias("u"))
+    return ends.join(of, "set_key").join(of.select(F.col("set_key").alias("x"), F.col("u").alias("v")), "x").select("u", "v")
+
+
+def near_components(docs: DataFrame, size: int, similar: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(signatures of all rows, classes (id, set_key, doc_id: the smallest, ...), (node, component) of the classes that have links)."""
     sigs = written(signatures(docs, size))
-    classes = written(
-        sigs.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
-        .groupBy("id").agg(F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")))
+    classes = sigs.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("m"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"))
+    # Numbers that differ with each run; nothing in the result depends on them.
+    classes = written(classes.select(F.monotonically_increasing_id().alias("id"), "set_key", "m.doc_id", "m.text_key", "sig", "n_shingles"))
     rows = classes.select("id", F.explode(band_keys()).alias("bucket"))
     full = rows.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
     buckets = written(rows.join(full, "bucket").select("bucket", "id", "hub"))
     nodes = buckets.select("id").distinct()
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
-    texts = written(texts.join(nodes, "id").join(classes.select("id", "n_shingles"), "id"))
+    chosen = classes.join(nodes, "id").select("id", "doc_id", "text_key", "n_shingles")
+    texts = docs.withColumn("text_key", F.unhex(F.md5("text"))).join(chosen, ["doc_id", "text_key"])
+    texts = written(texts.select("id", "text", "n_shingles"))
     least = least_agreeing(similar, BANDS * ROWS) / (BANDS * ROWS)
 
     def links(pairs: DataFrame) -> DataFrame:
@@ -201,7 +213,7 @@ def near_components(docs: DataFrame, size: int, similar: int) -> tuple[DataFrame
         return components(known.union(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
 
     edges = links(buckets.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")))
-    groups = joined(edges.limit(0).select(F.col("a").alias("u"), F.col("b").alias("v")), edges)
+    groups = joined(same_document(sigs, classes), edges)
     done = buckets.select("bucket", F.col("hub").alias("id")).distinct()  # hubs compared with all of their bucket
     left = buckets
     fits = f"{100 + similar} * least(s, s_) >= {similar} * (n + n_)"
@@ -237,7 +249,7 @@ def near_components(docs: DataFrame, size: int, similar: int) -> tuple[DataFrame
         new = links(pairs)
         edges = written(edges.union(new))
         groups = joined(groups.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")), new)
-    return sigs, groups
+    return sigs, classes, groups
 
 
 def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
@@ -245,9 +257,10 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of ``docs``. ``similar`` is the asked Jaccard similarity in percent."""
     ship(docs.sparkSession)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sigs, groups = near_components(picked, size, similar)
-    sets = sigs.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("id"))
-    named = sets.join(groups, sets["id"] == groups["node"], "left").select("set_key", F.coalesce("component", "id").alias("component"))
+    sigs, classes, groups = near_components(picked, size, similar)
+    named = written(classes.join(groups, classes["id"] == groups["node"], "left").select("set_key", "doc_id", F.coalesce("component", "id").alias("part")))
+    least = named.groupBy("part").agg(F.min("doc_id").alias("component"))
+    named = named.join(least, "part").select("set_key", "component")
     out = sigs.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
     part = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", part.alias("component_id"), F.coalesce(part == F.col("doc_id"), F.lit(True)).alias("kept"))

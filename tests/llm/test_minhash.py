@@ -104,3 +104,13 @@ def test_signature_test_drops_next_to_nothing(spark, similar):
     classes = spark.createDataFrame([(i, bytearray(s.astype(np.uint32).tobytes())) for i, s in enumerate(sigs)], "id long, sig binary")
     pairs = spark.createDataFrame([(0, 1), (0, 2)], "a long, b long")
     assert [tuple(r) for r in minhash.agreeing(pairs, classes, least / n).collect()] == [(0, 1)]
+
+
+def test_an_id_with_several_texts_is_one_document_in_any_row_order(spark):
+    words = [f"w{i}" for i in range(400)]
+    a, b = " ".join(words[:200]), " ".join(words[200:])
+    rows = [(1, a), (1, b), (5, b + " more"), (6, a + " more"), (9, "alone here with no one near"), (3, None), (3, a)]
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        got = minhash_dedup(spark.createDataFrame(order, "doc_id long, text string")).collect()
+        assert sorted((r.doc_id, r.n_shingles > 0, r.component_id) for r in got) == [
+            (1, True, 1), (1, True, 1), (3, False, 3), (3, True, 1), (5, True, 1), (6, True, 1), (9, True, 9)]
