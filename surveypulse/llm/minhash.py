@@ -11,8 +11,8 @@ star steps. Buckets that lie within one component are done. What remains gets an
 whether it can have a partner at all: shingles that no other remaining text has, and the size of the
 bucket's smallest set, bound the similarity from above. Further rounds take as hub the member with
 the most links so far, leaving out hubs that have been compared with all of a bucket. After
-``ROUNDS`` rounds all remaining pairs of different components whose bound allows a link are compared,
-each in the first of its buckets. So each candidate pair is compared, joined by others, or can't link.
+``ROUNDS`` rounds all remaining texts of different components that share a rare enough shingle are compared:
+each pair that can link does (``sharing``). So each candidate pair is compared, joined by others, or can't link.
 
 A signature test drops a pair before that if so few of its minima agree that a pair at the asked
 similarity would be dropped with a probability below ``DROPPED`` (binomial, computed exactly). Full sets are compared as sets of word runs, not hashes.
@@ -182,6 +182,35 @@ def partnered(rows: DataFrame, texts: DataFrame, size: int, similar: int) -> Dat
     return written(open_buckets(able.select("bucket", "id", "part", "n", "s")))
 
 
+def sharing(rest: DataFrame, texts: DataFrame, size: int, similar: int) -> DataFrame:
+    """Pairs (a, b) of the ids in ``rest`` (id, part) that lie in different parts and may link.
+
+    The shingles of each text are put in one order for all, rare ones first. Of a linked pair with n >= m shingles,
+    i >= similar * (n + m) / (100 + similar) are common, so the first common one lies among the first
+    n - similar * n / 100 + 1 of the larger and the first m - 2 * similar * m / (100 + similar) + 1 of the smaller, with
+    i - 1 or more behind it in both. Only texts that share such a shingle are paired: those that differ
+    from a common original in more places than links allow have nothing but their own shingles there."""
+    def run(batches):
+        for batch in batches:
+            for i, part, n, t in zip(*(batch.column(c).to_pylist() for c in ("id", "part", "n", "text")), strict=True):
+                x = hashes(shingles(t, size)).view(np.int64)
+                yield pa.RecordBatch.from_pydict({"id": pa.array([i] * len(x), pa.int64()), "part": pa.array([part] * len(x), pa.int64()),
+                                                  "n": pa.array([n] * len(x), pa.int64()), "x": pa.array(x)})
+
+    some = texts.join(rest, "id").select("id", "part", F.col("n_shingles").alias("n"), "text")
+    found = some.mapInArrow(run, "id long, part long, n long, x long")
+    common = found.groupBy("x").agg(F.count("*").alias("k")).where("k > 1")
+    own = Window.partitionBy("id")
+    # Shingles of one text alone come first of all; they are left out and counted.
+    place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("k", "x")) - 1
+    placed = found.join(common, "x").withColumn("place", place).drop("k")
+    placed = written(placed.where(f"{similar} * n <= 100 * (n - place)").withColumn("behind", F.expr("n - place")).drop("place"))
+    larger = placed.select("x", F.col("id").alias("a"), F.col("part").alias("part_"), F.col("n").alias("n_"), F.col("behind").alias("behind_"))
+    smaller = placed.where(f"{2 * similar} * n <= {100 + similar} * behind")
+    fits = f"part_ <> part AND (n_ > n OR n_ = n AND a < id) AND {100 + similar} * least(behind_, behind) >= {similar} * (n_ + n)"
+    return smaller.join(larger, "x").where(fits).select("a", F.col("id").alias("b")).distinct()
+
+
 def same_document(sigs: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (u, v) between the classes of a doc_id's different texts."""
     several = sigs.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y")).where("x <> y")
@@ -241,11 +270,7 @@ def near_components(docs: DataFrame, size: int, similar: int) -> tuple[DataFrame
             pairs = rest.join(other.join(hub.withColumnRenamed("id", "a"), ["bucket", "a"]), "bucket").where(f"part <> part_ AND {fits}").select("a", F.col("id").alias("b"))
             done = written(done.union(hub))
         else:
-            keys = classes.join(rest.select("id").distinct(), "id", "left_semi").select("id", band_keys().alias("keys"))
-            before = F.slice("keys", 1, F.array_position("keys", F.col("bucket")).cast("int") - 1)
-            mine = rest.join(keys, "id").select(*rest.columns, before.alias("before"))
-            his = mine.select("bucket", F.col("id").alias("a"), F.col("part").alias("part_"), F.col("n").alias("n_"), F.col("s").alias("s_"), F.col("before").alias("before_"))
-            pairs = mine.join(his, "bucket").where(f"a < id AND part_ <> part AND {fits} AND NOT arrays_overlap(before, before_)").select("a", F.col("id").alias("b"))
+            pairs = sharing(rest.select("id", "part").distinct(), texts, size, similar)
         new = links(pairs)
         edges = written(edges.union(new))
         groups = joined(groups.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")), new)
