@@ -60,7 +60,13 @@ class StatusRun:
 
     @cached_property
     def files(self) -> DataFrame:
-        return self._keep(files.inventory(self.sessions))
+        found = self._keep(files.inventory(self.sessions))
+        if found.where("state = 'UNOPENED'").isEmpty():
+            return found
+        kinds = {kind: name.rsplit(".", 1)[1] for kind, name in files.FILE_NAMES.items()}
+        body = lines.raw_table_lines(self.spark, self.folders, list(files.TABLE_KINDS), self.numbers, self.levels)
+        listed = lines.listed_files(self.spark, self.folders, kinds, self.levels)
+        return self._keep(files.scanned_states(found, body, listed))
 
     @cached_property
     def files_missing(self) -> DataFrame:

@@ -93,7 +93,8 @@ def sessions_missing(discovered: DataFrame, sessions: list[int] | None = None) -
 def inventory(sessions: DataFrame) -> DataFrame:
     """State and header line of every file a session should have.
 
-    One row per session and kind: ``OK``, ``EMPTY``, ``BAD_HEADER`` or ``MISSING``, with the first
+    One row per session and kind: ``OK``, ``EMPTY``, ``BAD_HEADER``, ``MISSING``, ``UNREADABLE`` (there, but
+    not to be read) or ``UNOPENED`` (in a store that only Spark reads; see ``scanned_states``), with the first
     line of MAG, GGA and SPC files. Each file is opened for its first line only, so a file of any
     size costs one short read; finding headers by a Spark scan would read all bytes of all files.
     Files are dealt to a stated number of tasks, which adaptive execution does not merge.
@@ -106,9 +107,27 @@ def inventory(sessions: DataFrame) -> DataFrame:
     tasks = min(_MOST_TASKS, max(1, -(-sessions.count() * len(FILE_NAMES) // _FILES_EACH)))
     wanted = wanted.repartition(tasks, "path")
     schema = "dataset STRING, session INT, kind STRING, path STRING, state STRING, header STRING"
-    probed = wanted.mapInPandas(_probe, schema)
+    return _judged(wanted.mapInPandas(_probe, schema))
+
+
+def _judged(found: DataFrame) -> DataFrame:
     bad = (F.col("state") == "OK") & F.coalesce(bad_header(F.col("header")), F.lit(False))
-    return probed.withColumn("state", F.when(bad, "BAD_HEADER").otherwise(F.col("state")))
+    return found.withColumn("state", F.when(bad, "BAD_HEADER").otherwise(F.col("state")))
+
+
+def scanned_states(files: DataFrame, lines: DataFrame, names: DataFrame) -> DataFrame:
+    """State and header of the files that ``inventory`` could not open, from Spark's own readers.
+
+    ``lines`` (session keys, kind, block, mid, value) are all lines of the tables, header included, and
+    ``names`` (session keys, kind, filled) the files that a listing has. The header costs a scan of the tables, as the first line of block 0.
+    """
+    keys = [*SESSION_KEYS, "kind"]
+    opened, rest = files.where("state <> 'UNOPENED'"), files.where("state = 'UNOPENED'")
+    heads = headers_by_scan(lines, keys).drop("first")
+    listed = names.groupBy(*keys).agg(F.max("filled").alias("filled"))
+    found = rest.drop("state", "header").join(listed, keys, "left").join(heads, keys, "left")
+    state = F.when(F.col("filled").isNull(), "MISSING").when(F.col("filled"), "OK").otherwise("EMPTY")
+    return opened.unionByName(_judged(found.withColumn("state", state).select(files.columns)))
 
 
 def files_missing(files: DataFrame) -> DataFrame:
@@ -146,7 +165,10 @@ def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _first_line(path: str, wanted: bool, opened: dict) -> tuple[str, str | None]:
-    store, inner = _locate(path, opened)
+    try:
+        store, inner = _locate(path, opened)
+    except (OSError, ValueError, NotImplementedError):
+        return "UNOPENED", None
     try:
         with store.open_input_stream(inner) as stream:
             data = stream.read(_CHUNK)
@@ -159,6 +181,8 @@ def _first_line(path: str, wanted: bool, opened: dict) -> tuple[str, str | None]
             return "OK", (data[: end.start()] if end else data).decode("utf-8", "replace")
     except FileNotFoundError:
         return "MISSING", None
+    except OSError:
+        return "UNREADABLE", None
 
 
 def _locate(path: str, opened: dict) -> tuple[fs.FileSystem, str]:

@@ -9,6 +9,7 @@ the order of rows work piece by piece and then join the ends.
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,6 +84,40 @@ def split_log_lines(lines: DataFrame) -> DataFrame:
     return lines.select(*kept, F.posexplode_outer(pieces).alias("part", "value"))
 
 
+def raw_table_lines(
+    spark: SparkSession, folders: str | list[str], kinds: list[str], sessions: list[int] | None = None, levels: int = 1
+) -> DataFrame:
+    """All lines of tables with their ``kind``, header included, for stores whose files only Spark opens."""
+    found = spark.createDataFrame([], f"{LINE_SCHEMA}, kind STRING, value STRING")
+    for kind in kinds:
+        raw = load(spark.read.text, file_globs(folders, kind))
+        if raw is not None:
+            scan = session_files(raw, kind, sessions)
+            found = found.unionByName(scan.select(*scan_columns(levels), F.lit(kind).alias("kind"), "value"))
+    return found
+
+
+def listed_files(spark: SparkSession, folders: str | list[str], kinds: dict[str, str], levels: int = 1) -> DataFrame:
+    """Session keys, kind and ``filled`` of the files that a listing has; no content is read.
+
+    A scan leaves out files of no bytes, so those only the listing names are empty.
+    """
+    names, filled = [], spark.createDataFrame([], "path STRING")
+    for kind, suffix in kinds.items():
+        listing = load(spark.read.format("binaryFile").load, file_globs(folders, kind, suffix))
+        if listing is not None:
+            names += [(kind, unquote(n)) for n in listing.inputFiles()]
+            filled = filled.union(listing.select("path"))
+    name = F.substring_index("path", "/", -1)
+    number = F.regexp_extract(name, r"^[A-Za-z]{3}(\d{5}|[1-9]\d{5,})\.[a-z]{3}$", 1)
+    return (
+        spark.createDataFrame(names, "kind STRING, path STRING").where(number != "")
+        .join(filled.distinct().withColumn("filled", F.lit(True)), "path", "left")
+        .select(folder_name(F.col("path"), levels).alias("dataset"), number.cast("int").alias("session"), "kind",
+                F.coalesce("filled", F.lit(False)).alias("filled"))
+    )
+
+
 def table_lines(
     spark: SparkSession, folders: str | list[str], kind: str, sessions: list[int] | None = None, levels: int = 1
 ) -> DataFrame:

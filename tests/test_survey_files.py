@@ -1,5 +1,8 @@
 """Hand-made sessions with every file kind; expected values worked out by hand."""
 
+from pathlib import Path
+from urllib.parse import quote
+
 import pytest
 from survey_helpers import rows
 
@@ -50,6 +53,25 @@ def test_no_session_vanishes(spark, tmp_path):
     run.close()
 
 
+def test_a_store_that_only_spark_opens(spark, survey, run):
+    """The same files behind a mount table that the header probe does not know."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("fs.viewfs.mounttable.survey.link./data", "file://" + quote(str(Path(survey).parent)))
+    mounted = StatusRun(spark, f"viewfs://survey/data/{Path(survey).name}")
+    probed = files.inventory(mounted.sessions)
+    assert {r.state for r in probed.collect()} == {"UNOPENED"}
+    shown = ["session", "kind", "state", "header"]
+    assert rows(mounted.files, *shown) == rows(run.files, *shown)
+    assert rows(mounted.row_counts, "session", "kind", "n_rows") == rows(run.row_counts, "session", "kind", "n_rows")
+    mounted.close()
+
+
+def test_a_file_that_cannot_be_read(tmp_path):
+    assert files._first_line(str(tmp_path), True, {}) == ("UNREADABLE", None)
+    assert files._first_line(str(tmp_path / "none"), True, {}) == ("MISSING", None)
+    assert files._first_line("nosuchstore://host/a", True, {}) == ("UNOPENED", None)
+
+
 def test_two_folders_of_one_name(spark, tmp_path):
     for parent in ("a", "b"):
         folder = tmp_path / parent / "same"
