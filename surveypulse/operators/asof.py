@@ -3,6 +3,9 @@
 A base station's samples stand around each reading in time, not at it. Time is cut into buckets and both
 series are put in order inside a bucket; the nearest samples outside it come from a table with the first
 and last sample of each bucket. So a key of any length spreads over its buckets.
+
+What follows a row is looked up backwards, as the last value of a descending order: a frame up to the end of
+its group is worked out anew for each row, which is quadratic in the rows of a bucket.
 """
 
 from __future__ import annotations
@@ -52,23 +55,24 @@ def interpolated(
     # The nearest samples outside each bucket that has anything in it.
     ends = samples.groupBy(*keys, "_bucket").agg(F.min(sample).alias("_first"), F.max(sample).alias("_last"))
     asked = readings.where(F.col(time).isNotNull()).select(*keys, _bucket(F.col(time), bucket_seconds).alias("_bucket")).distinct()
-    along = Window.partitionBy(*keys).orderBy("_bucket")
+    along, back = Window.partitionBy(*keys).orderBy("_bucket"), Window.partitionBy(*keys).orderBy(F.desc("_bucket"))
     edges = asked.join(ends, [*keys, "_bucket"], "full").select(
         *keys, "_bucket",
         F.last("_last", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"),
-        F.first("_first", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("_later"))
+        F.last("_first", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)).alias("_later"))
 
-    # Samples and readings of a bucket in one order; a sample stands before readings of its time.
+    # Samples and readings of a bucket in one order and its reverse; a sample stands before readings of its time.
     row = F.struct(*readings.columns)
     both = readings.select(*keys, row.alias("_row"), F.col(time).cast("double").alias("_at"), F.lit(None).cast("double").alias("_v")).withColumn(
         "_bucket", _bucket(F.col("_at"), bucket_seconds)).unionByName(
         samples.select(*keys, F.lit(None).cast(readings.select(row).schema[0].dataType).alias("_row"), "_at", "_v", "_bucket"))
-    here = Window.partitionBy(*keys, "_bucket").orderBy("_at", F.col("_row").isNotNull())
+    bucket, is_reading = Window.partitionBy(*keys, "_bucket"), F.col("_row").isNotNull()
+    here, reverse = bucket.orderBy("_at", is_reading), bucket.orderBy(F.desc("_at"), is_reading.desc())
     known = F.when(F.col("_v").isNotNull(), sample)
     placed = both.withColumns({
         "_before": F.last(known, ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, 0)),
-        "_after": F.first(known, ignorenulls=True).over(here.rowsBetween(0, Window.unboundedFollowing)),
-    }).where(F.col("_row").isNotNull())
+        "_after": F.last(known, ignorenulls=True).over(reverse.rowsBetween(Window.unboundedPreceding, 0)),
+    }).where(is_reading)
     met = join_sized(placed, edges, [*keys, "_bucket"], "left")
     before, after, at = F.coalesce("_before", "_earlier"), F.coalesce("_after", "_later"), F.col("_at")
     met = met.withColumns({"_before": before, "_after": after})

@@ -159,6 +159,18 @@ def test_interpolation(spark, bucket, gap, outside):
         assert got[i] == (None if want is None else pytest.approx(want, abs=1e-9)), (t, i)
 
 
+def test_interpolation_in_a_full_bucket(spark):
+    """All rows in one bucket, and a bucket for each row: no frame is worked out anew up to the end of its group."""
+    n = 20_000
+    base = spark.range(0, n, 2).select(F.lit("a").alias("k"), F.col("id").cast("double").alias("t"), (F.col("id") * 3.0).alias("v"))
+    readings = spark.range(-1, n).select(F.lit("a").alias("k"), F.col("id").alias("i"), F.col("id").cast("double").alias("t"))
+    for bucket in (1e6, 1.0):
+        found = asof.interpolated(readings, base, ["k"], "t", "v", "here", bucket)
+        assert "unboundedfollowing" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+        got = {r["i"]: r["here"] for r in found.collect()}
+        assert got == {i: i * 3.0 if 0 <= i < n - 1 else None for i in range(-1, n)}
+
+
 def test_diurnal_datum(spark):
     readings = spark.createDataFrame([("a", 1.0, 100.0), ("a", 3.0, None), ("b", 1.0, 7.0)], "k string, t double, mag double")
     base = spark.createDataFrame([("a", 0.0, 10.0), ("a", 2.0, 14.0), ("a", 4.0, 12.0)], "k string, t double, level double")
