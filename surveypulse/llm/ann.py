@@ -6,7 +6,8 @@ neighbour is closer to it by the factor ``ALPHA``, so edges point in diverse dir
 also put in backwards and its target pruned again. Largest inner product becomes smallest distance
 by one more coordinate that gives all vectors the length of the longest; queries have 0 there.
 Blocks of queries then go through every shard's graph by beam search, many in step as matrix
-products, and each shard's best are merged, scored by exact inner products in double precision.
+products, and each shard's best are scored by exact inner products in double precision and merged where
+they are found: a task keeps one list a query while the shards pass by.
 
 Equal vectors stand in the graph once, with their smallest ids, as many as a result can hold.
 
@@ -27,78 +28,95 @@ from surveypulse.llm.common import ship, written
 
 DEGREE, BEAM, ALPHA = 32, 64, 1.2
 SHARD, BLOCK, STEP = 8192, 512, 2
+#: Inner products that pruning holds at once.
+PRUNED = 1 << 20
+#: Searches are dealt to ``TASKS`` tasks at least if there are so many, shards to ``PARTS`` parts at least, queries
+#: to rows of ``ROW`` blocks at most.
+TASKS, PARTS, ROW = 128, 8, 8
 
 
 def beam_search(graph: np.ndarray, vecs: np.ndarray, start: int, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """For each query the ``width`` nearest nodes met and their squared distances; -1 pads."""
     n, many = len(vecs), len(queries)
     norms, own = np.einsum("ij,ij->i", vecs, vecs), np.einsum("ij,ij->i", queries, queries)
-    ids = np.full((many, width), -1, np.int64)
-    dist = np.full((many, width), np.inf, np.float32)
     if n <= width:
+        ids = np.full((many, width), -1, np.int64)
+        dist = np.full((many, width), np.inf, np.float32)
         ids[:, :n] = np.arange(n)
         dist[:, :n] = norms + own[:, None] - 2 * queries @ vecs.T
         order = np.argsort(dist, 1, kind="stable")
         return np.take_along_axis(ids, order, 1), np.take_along_axis(dist, order, 1)
-    ids[:, 0] = start
-    dist[:, 0] = norms[start] + own - 2 * queries @ vecs[start]
-    done = np.ones((many, width), bool)
-    done[:, 0] = False
-    met = np.zeros((many, n), bool)
-    met[:, start] = True
+
+    def keys(dist: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """Distance, node and whether it has been left, in one number that sorts by distance: the bits of floats from 0 on do."""
+        return np.maximum(dist, np.float32(0)).astype(np.float32).view(np.uint32).astype(np.uint64) << np.uint64(32) | nodes.astype(np.uint64) << np.uint64(1)
+
+    left, none = np.uint64(1), np.uint64((1 << 64) - 1)
+    beams = np.full((many, width), none, np.uint64)
+    beams[:, 0] = keys(norms[start] + own - 2 * queries @ vecs[start], np.full(many, start))
+    met = np.zeros(many * n, bool)
+    met[np.arange(many) * n + start] = True
     live = np.arange(many)
-    while len(live):
+    while True:
         # The nearest nodes of each beam that have not been left yet.
-        open_ = ~done[live]
-        turn = np.cumsum(open_, 1)
-        go = open_ & (turn <= STEP)
-        live = live[go.any(1)]
+        beam = beams[live]
+        near = np.full((len(live), STEP, graph.shape[1]), -1, np.int32)
+        rows = np.arange(len(live))
+        for k in range(STEP):
+            open_ = (beam & left) == 0
+            col = open_.argmax(1)
+            has = np.nonzero(open_[rows, col])[0]
+            if not k:
+                beam, live, near, col = beam[has], live[has], near[: len(has)], col[has]
+                rows = has = np.arange(len(live))
+            near[has, k] = graph[beam[has, col[has]] >> left & np.uint64(0x7FFFFFFF)]
+            beam[has, col[has]] |= left
         if not len(live):
             break
-        go = go[go.any(1)]
-        row, col = np.nonzero(go)
-        done[live[row], col] = True
-        near = np.full((len(live), STEP, graph.shape[1]), -1, np.int64)
-        near[row, (np.cumsum(go, 1) - 1)[row, col]] = graph[ids[live[row], col]]
         near = np.sort(near.reshape(len(live), -1), 1)
         fresh = near >= 0
         fresh[:, 1:] &= near[:, 1:] != near[:, :-1]
-        fresh &= ~met[live[:, None], near]
         r, c = np.nonzero(fresh)
-        met[live[r], near[r, c]] = True
-        # Shift each row's new nodes to the front, so that rows stay as short as the longest.
-        place = (np.cumsum(fresh, 1) - 1)[r, c]
-        size = int(fresh.sum(1).max(initial=0))
-        if not size:
-            continue
-        new = np.full((len(live), size), -1, np.int64)
-        new[r, place] = near[r, c]
-        far = np.full((len(live), size), np.inf, np.float32)
-        at = new[r, place]
-        far[r, place] = norms[at] + own[live[r]] - 2 * np.einsum("ij,ij->i", vecs[at], queries[live[r]])
-        all_ids = np.concatenate([ids[live], new], 1)
-        all_dist = np.concatenate([dist[live], far], 1)
-        all_done = np.concatenate([done[live], new < 0], 1)
-        order = np.argsort(all_dist, 1, kind="stable")[:, :width]
-        ids[live] = np.take_along_axis(all_ids, order, 1)
-        dist[live] = np.take_along_axis(all_dist, order, 1)
-        done[live] = np.take_along_axis(all_done, order, 1)
+        at = near[r, c]
+        cell = live[r] * n + at
+        new = ~met[cell]
+        r, at = r[new], at[new]
+        met[cell[new]] = True
+        far = keys(norms[at] + own[live[r]] - 2 * np.einsum("ij,ij->i", np.take(vecs, at, 0), np.take(queries, live[r], 0)), at)
+        # Those that come in, at the front of rows as short as the longest.
+        better = far < beam[r, -1]
+        r, far = r[better], far[better]
+        count = np.bincount(r, minlength=len(live))
+        if size := int(count.max(initial=0)):
+            wide = np.full((len(live), width + size), none, np.uint64)
+            wide[:, :width] = beam
+            wide[r, width + np.arange(len(r)) - (np.cumsum(count) - count)[r]] = far
+            wide.sort(1)
+            beam = wide[:, :width]
+        beams[live] = beam
+    ids = (beams >> left & np.uint64(0x7FFFFFFF)).astype(np.int64)
+    dist = np.ascontiguousarray((beams >> np.uint64(32)).astype(np.uint32)).view(np.float32).copy()
+    ids[beams == none], dist[beams == none] = -1, np.inf
     return ids, dist
 
 
 def robust_prune(vecs: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
     """For each node up to ``degree`` of its candidates (-1 pads), nearest first, each not nearer by
     ``alpha`` to one kept before than to the node."""
+    if len(nodes) > (some := max(1, PRUNED // candidates.shape[1] ** 2)):
+        return np.concatenate([robust_prune(vecs, nodes[a : a + some], candidates[a : a + some], degree, alpha) for a in range(0, len(nodes), some)])
     cand = np.sort(candidates, 1)
     bad = (cand < 0) | (cand == nodes[:, None])
     bad[:, 1:] |= cand[:, 1:] == cand[:, :-1]
-    points = vecs[np.where(bad, 0, cand)]
-    away = points - vecs[nodes][:, None, :]
+    cand = np.where(bad, 0, cand)
+    away = np.take(vecs, cand, 0)
+    away -= vecs[nodes][:, None, :]
     dist = np.where(bad, np.inf, np.einsum("bcd,bcd->bc", away, away))
     order = np.argsort(dist, 1, kind="stable")
     cand, dist = np.take_along_axis(cand, order, 1), np.take_along_axis(dist, order, 1)
-    points = np.take_along_axis(points, order[:, :, None], 1)
+    points = np.take(vecs, cand, 0)
     norms = np.einsum("bcd,bcd->bc", points, points)
+    inner = np.matmul(points, points.transpose(0, 2, 1))
     alive = np.isfinite(dist)
     out = np.full((len(nodes), degree), -1, np.int32)
     rows = np.arange(len(nodes))
@@ -108,8 +126,7 @@ def robust_prune(vecs: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, de
             break
         pick = alive.argmax(1)
         out[has, k] = cand[rows, pick][has]
-        p = points[rows, pick]
-        between = norms + norms[rows, pick][:, None] - 2 * np.matmul(points, p[:, :, None])[:, :, 0]
+        between = norms + norms[rows, pick][:, None] - 2 * inner[rows, pick]
         alive &= alpha * alpha * between > dist
         alive[rows, pick] = False
         alive &= has[:, None]
@@ -139,6 +156,8 @@ def build_graph(vecs: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha:
         turn = np.argsort(to, kind="stable")
         source, to = source[turn], to[turn]
         targets, first, count = np.unique(to, return_index=True, return_counts=True)
+        turn = np.argsort(count, kind="stable")  # those of like width together
+        targets, first, count = targets[turn], first[turn], count[turn]
         for a in range(0, len(targets), BLOCK):
             t, c = targets[a : a + BLOCK], count[a : a + BLOCK]
             wide = np.full((len(t), degree + int(c.max())), -1, np.int64)
@@ -198,44 +217,68 @@ def nearest(
             "offsets": [np.asarray(ids.offsets, np.int64).tobytes()], "ids": [np.asarray(ids.flatten(), np.int64).tobytes()],
         })
 
+    # As many partitions as may be: few bytes make long tasks here.
     index = written(
         classes.select((F.pmod(F.xxhash64("v"), F.lit(shards))).cast("int").alias("shard"), F.col("ids")[0].alias("least"), "v", "ids")
+        .repartition(2 * shards, "shard")
         .groupBy("shard").applyInArrow(build, "shard int, start int, vecs binary, more binary, graph binary, offsets binary, ids binary"))
-    # Different query vectors, in blocks.
+    # Different query vectors, in rows of one to several blocks.
     distinct_q = written(asked.groupBy("v").agg(F.min("id").alias("q")))
     blocks = max(1, -(-distinct_q.count() // BLOCK))
+    asking = max(min(blocks, TASKS // PARTS), -(-blocks // ROW))
 
     def block(group: pa.Table) -> pa.Table:
-        return pa.table({"q": [group.column("q").to_numpy().astype(np.int64).tobytes()], "qv": [matrix(group.column("v"), dim).tobytes()]})
+        return pa.table({"b": group.column("b")[:1], "q": [group.column("q").to_numpy().astype(np.int64).tobytes()], "qv": [matrix(group.column("v"), dim).tobytes()]})
 
-    blocked = written(distinct_q.withColumn("b", F.pmod(F.xxhash64("q"), F.lit(blocks))).groupBy("b").applyInArrow(block, "q binary, qv binary"))
-    tasks = blocked.select("q", "qv", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")).join(index, "shard")
+    blocked = written(distinct_q.withColumn("b", F.pmod(F.xxhash64("q"), F.lit(asking))).groupBy("b").applyInArrow(block, "b long, q binary, qv binary"))
+    # Each pair of queries and shard, by a product that reads partitions where they are: a task holds one row of
+    # queries, and its share of the shards passes by. Nothing is sent for a pair, and the driver has no part in it.
+    passing = min(shards, max(PARTS, TASKS // asking))
+    pairs = index.coalesce(passing).crossJoin(blocked.repartitionByRange(asking, "b").hint("shuffle_replicate_nl"))
 
     def search(batches):
+        shard, best = None, {}
         for batch in batches:
-            for r in batch.to_pylist():
-                plain = np.frombuffer(r["vecs"], np.float32).reshape(-1, dim)
-                vecs = np.concatenate([plain, np.frombuffer(r["more"], np.float32)[:, None]], 1)
-                graph = np.frombuffer(r["graph"], np.int32).reshape(len(vecs), -1)
-                offsets, ids = np.frombuffer(r["offsets"], np.int64), np.frombuffer(r["ids"], np.int64)
-                q, qv = np.frombuffer(r["q"], np.int64), np.frombuffer(r["qv"], np.float32).reshape(-1, dim)
-                found, _ = beam_search(graph, vecs, r["start"], np.concatenate([qv, np.zeros((len(qv), 1), np.float32)], 1), beam)
-                score = np.einsum("qd,qnd->qn", qv.astype(np.float64), plain[np.maximum(found, 0)].astype(np.float64))
-                row, col = np.nonzero(found >= 0)
-                node = found[row, col]
-                many = offsets[node + 1] - offsets[node]
-                at = np.repeat(offsets[node], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                row, s, v = np.repeat(row, many), np.repeat(score[row, col], many), ids[at]
-                order = np.lexsort((v, -s, row))
-                row, s, v = row[order], s[order], v[order]
+            for i in range(batch.num_rows):
+                raw = lambda name, kind: np.frombuffer(batch.column(name)[i].as_buffer(), kind)  # noqa: B023, E731
+                if batch.column("shard")[i].as_py() != shard:
+                    shard, start = batch.column("shard")[i].as_py(), batch.column("start")[i].as_py()
+                    vecs = np.concatenate([raw("vecs", np.float32).reshape(-1, dim), raw("more", np.float32)[:, None]], 1)
+                    graph = raw("graph", np.int32).reshape(len(vecs), -1).copy()
+                    offsets, ids = raw("offsets", np.int64).copy(), raw("ids", np.int64).copy()
+                b = batch.column("b")[i].as_py()
+                if b not in best:
+                    q = raw("q", np.int64).copy()
+                    best[b] = q, np.full(len(q), -np.inf), (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
+                q, floor, met = best[b]
+                every = np.concatenate([raw("qv", np.float32).reshape(-1, dim), np.zeros((len(q), 1), np.float32)], 1)
+                for a in range(0, len(q), BLOCK):
+                    qv = every[a : a + BLOCK]
+                    found, _ = beam_search(graph, vecs, start, qv, beam)
+                    score = np.einsum("qd,qnd->qn", qv[:, :dim].astype(np.float64), vecs[np.maximum(found, 0), :dim].astype(np.float64))
+                    score[found < 0] = -np.inf
+                    # Each node has an id at least, so what is below the last of the best so far, there or here, can't come in.
+                    least = floor[a : a + BLOCK]
+                    if score.shape[1] > k:
+                        least = np.maximum(least, np.partition(score, -k - 1, 1)[:, -k - 1])
+                    row, col = np.nonzero((score >= least[:, None]) & (found >= 0))
+                    node = found[row, col]
+                    many = offsets[node + 1] - offsets[node]
+                    at = np.repeat(offsets[node], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                    met = tuple(map(np.concatenate, zip(met, (np.repeat(row + a, many), np.repeat(score[row, col], many), ids[at]), strict=True)))
+                order = np.lexsort((met[2], -met[1], met[0]))
+                row, s, v = (x[order] for x in met)
                 turn = np.arange(len(row)) - np.searchsorted(row, row)
-                best = turn <= k
-                yield pa.RecordBatch.from_pydict({"q": pa.array(q[row[best]]), "score": pa.array(s[best]), "vec_id": pa.array(v[best])})
+                floor[row[turn == k]] = s[turn == k]
+                best[b] = q, floor, tuple(x[turn <= k] for x in (row, s, v))
+        for q, _, (row, s, v) in best.values():
+            yield pa.RecordBatch.from_pydict({"q": pa.array(q[row]), "score": pa.array(s), "vec_id": pa.array(v)})
 
-    met = tasks.mapInArrow(search, "q long, score double, vec_id long")
+    met = pairs.mapInArrow(search, "q long, score double, vec_id long")
     best = met.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).where(F.col("r") <= k + 1)
     listed = best.groupBy("q").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "score"))).alias("found"))
-    named = asked.join(distinct_q, "v").select(F.col("id").alias("query_id"), "q").join(listed, "q")
+    # Files may be far smaller than what they hold, so none of these is left to be broadcast for its size.
+    named = asked.join(distinct_q.hint("merge"), "v").select(F.col("id").alias("query_id"), "q").join(listed.hint("merge"), "q")
     mine = F.slice(F.filter("found", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
     return named.select("query_id", F.posexplode(mine).alias("pos", "x")).select(
         "query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from surveypulse.llm import ann
 from surveypulse.llm.ann import beam_search, build_graph, nearest, robust_prune
 
 
@@ -72,3 +73,36 @@ def test_copies_odd_vectors_and_few_rows(spark):
     assert nearest(frame(spark, []), frame(spark, [])).count() == 0
     df = frame(spark, odd)
     assert nearest(df, df).count() == 0
+
+
+def test_pairs_of_queries_and_shards_pass_the_driver_by(spark, monkeypatch):
+    """Several rows of queries, each of several blocks, met by several parts of the shards."""
+    rows = table(800, seed=2) + [(1000 + i, v, 0, 1, 2) for i, v, *_ in table(40, seed=2)]
+    df = frame(spark, rows)
+    said = lambda found: sorted(map(tuple, found.collect()))
+    one = said(nearest(df, df.where("vec_id % 20 = 0"), shard=150))
+    for name, value in (("BLOCK", 4), ("TASKS", 8), ("PARTS", 2), ("ROW", 2)):
+        monkeypatch.setattr(ann, name, value, raising=False)
+    found = nearest(df, df.where("vec_id % 20 = 0"), shard=150)
+    assert said(found) == one
+    expected = brute(rows, {r[0] for r in rows if r[0] % 20 == 0}, 20)
+    hits = sum(i in [j for j, _ in expected[q]] for q, _, i, _ in one)
+    assert len(one) == 20 * len(expected) and hits >= 0.9 * len(one)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan
+
+
+def test_a_hub_of_many_candidates_is_pruned_in_parts():
+    rng = np.random.default_rng(6)
+    vecs = rng.normal(size=(3000, 8)).astype(np.float32)
+    wide = rng.integers(-1, 3000, (9, 2000))
+    some = robust_prune(vecs, np.arange(9), wide, 16, 1.2)
+    assert [robust_prune(vecs, np.array([i]), wide[i : i + 1], 16, 1.2)[0].tolist() for i in range(9)] == some.tolist()
+    # Slowly and plainly: each candidate, nearest first, unless one kept is nearer to it by the factor.
+    dist = lambda a, b: float(((vecs[a].astype(float) - vecs[b]) ** 2).sum())
+    for i in range(9):
+        kept = []
+        for c in sorted({int(x) for x in wide[i] if x >= 0 and x != i}, key=lambda c: dist(i, c)):
+            if len(kept) < 16 and all(1.44 * dist(c, x) > dist(i, c) for x in kept):
+                kept.append(c)
+        assert some[i][some[i] >= 0].tolist() == kept
