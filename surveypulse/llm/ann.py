@@ -173,14 +173,17 @@ def build_graph(vecs: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha:
     return graph, start
 
 
-def vectors(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int]:
-    """(id, v) of the vectors that take part, and their length."""
+def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(id, v) of the vectors that take part if they have the right length."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<float>").alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
-    rows = rows.where(F.forall("v", finite) & F.exists("v", lambda x: x != 0))
+    return rows.where(F.forall("v", finite) & F.exists("v", lambda x: x != 0))
+
+
+def length(rows: DataFrame) -> int:
+    """The length that most vectors have."""
     sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
-    dim = sizes[0]["d"] if sizes else 0
-    return rows.where(F.size("v") == dim), dim
+    return sizes[0]["d"] if sizes else 0
 
 
 def matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -195,9 +198,10 @@ def nearest(
     """query_id, rank, vec_id, score: for each row of ``queries`` the ``k`` rows of ``df`` with the
     largest inner product, found through the shards' graphs, but not the one with its own id."""
     ship(df.sparkSession)
-    rows, dim = vectors(df, id_col, vec_col)
-    rows = written(rows)
-    asked = written(vectors(queries, id_col, vec_col)[0].where(F.size("v") == dim))
+    rows = vectors(df, id_col, vec_col)
+    dim = length(rows)
+    rows = rows.where(F.size("v") == dim)
+    asked = written(vectors(queries, id_col, vec_col).where(F.size("v") == dim))
     # Each different vector with its k + 1 smallest ids; the limit works before the shuffle too.
     first = rows.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
     classes = written(first.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")))
@@ -217,10 +221,11 @@ def nearest(
             "offsets": [np.asarray(ids.offsets, np.int64).tobytes()], "ids": [np.asarray(ids.flatten(), np.int64).tobytes()],
         })
 
-    # As many partitions as may be: few bytes make long tasks here.
+    # As many partitions as shards need, for few bytes make long tasks here, but no more than the session's or ``TASKS``.
+    dealt = min(2 * shards, max(TASKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     index = written(
         classes.select((F.pmod(F.xxhash64("v"), F.lit(shards))).cast("int").alias("shard"), F.col("ids")[0].alias("least"), "v", "ids")
-        .repartition(2 * shards, "shard")
+        .repartition(dealt, "shard")
         .groupBy("shard").applyInArrow(build, "shard int, start int, vecs binary, more binary, graph binary, offsets binary, ids binary"))
     # Different query vectors, in rows of one to several blocks.
     distinct_q = written(asked.groupBy("v").agg(F.min("id").alias("q")))
